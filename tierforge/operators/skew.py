@@ -1,0 +1,52 @@
+"""Hot-key detection and size-checked broadcast.
+
+Both helpers bring only bounded results to the driver: at most ``limit`` key
+tuples, or a single row count capped at ``max_rows + 1``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Defaults: a group is "hot" when one task would have to sort more rows than
+# this; at most this many hot groups are split (the rest stay exact, just unsplit).
+HOT_GROUP_ROWS = 2_000_000
+MAX_HOT_GROUPS = 256
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS,
+               limit: int = MAX_HOT_GROUPS) -> DataFrame:
+    """Groups of ``keys`` holding at least ``min_rows`` rows, largest first.
+
+    The count is a partial (map-side) aggregation, so a key holding a third of
+    all rows is pre-reduced before the shuffle. The result has at most
+    ``limit`` rows: a proven bound, safe to broadcast or collect.
+    """
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+              .where(F.col("__rows") >= F.lit(min_rows))
+              .orderBy(F.col("__rows").desc())
+              .limit(limit))
+
+
+def null_safe_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Join condition where null keys match each other (window-partition semantics)."""
+    cond = None
+    for lk, rk in pairs:
+        c = left[lk].eqNullSafe(right[rk])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; stops reading past the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast ``df`` only after checking its row count; else leave it to AQE."""
+    if max_rows is not None and fits(df, max_rows):
+        return F.broadcast(df)
+    return df
