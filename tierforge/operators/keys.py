@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierforge.session import checkpoint_dir
+
 # Rows one task numbers at most before the ranged method kicks in (auto), and
 # the most buckets a key assignment uses.
 ROWS_PER_BUCKET = 1_000_000
@@ -83,22 +85,34 @@ def _cuts(df: DataFrame, cols: Sequence[str], buckets: int, rows: int, per_bucke
 
 def surrogate_key(df: DataFrame, order: str | Sequence[str], name: str, method: str = "auto",
                   rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                  sample_per_bucket: int = SAMPLE_PER_BUCKET, seed: int = 17) -> DataFrame:
+                  sample_per_bucket: int = SAMPLE_PER_BUCKET, seed: int = 17,
+                  materialize: bool = True) -> DataFrame:
     """Prepend ``name`` = 1..n (bigint) following ``order`` ascending, nulls first.
 
     ``method``: ``"global"`` (one window, one task: only for inputs of known
     small size), ``"ranged"`` (always distributed) or ``"auto"`` (global when
     the row count fits one bucket, otherwise ranged).
+
+    The ranged path reads its input four times (count, sample, bucket counts,
+    numbering). With ``materialize`` the input is first written once as a
+    reliable checkpoint in the session's shared checkpoint folder, so an
+    upstream join runs once and lineage is cut before the numbering.
     """
     cols = [order] if isinstance(order, str) else list(order)
     if method not in ("auto", "global", "ranged"):
         raise ValueError(f"unknown surrogate key method {method!r}")
     if method == "global":
         return _global(df, cols, name)
+    if method == "ranged" and materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     rows = df.count()
     buckets = max(1, min(max_buckets, math.ceil(rows / rows_per_bucket)))
     if method == "auto" and buckets == 1:
         return _global(df, cols, name)   # proven: at most rows_per_bucket rows
+    if method == "auto" and materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     cuts = _cuts(df, cols, buckets, rows, sample_per_bucket, seed)
     bucket = _bucket_expr(df, cols, cuts)
     tagged = df.withColumn("__b", bucket)

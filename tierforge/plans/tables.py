@@ -137,7 +137,7 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
     key held by several rows multiplies the sales line, as in the source.
     """
     j = lookup(sales, products, ("sls_prd_key", "product_number"), {"product_key": "product_key"},
-               normalize=C.trim_spaces)
+               normalize=C.trim_spaces, broadcast_rows=SMALL_LOOKUP_ROWS)
     j = lookup(j, customers, ("sls_cust_id", "customer_id"), {"customer_key": "customer_key"})
     return j.select(
         F.col("sls_ord_num").alias("order_number"),
