@@ -135,10 +135,16 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
 
     Product match is on trimmed keys, customer match on the id. A dimension
     key held by several rows multiplies the sales line, as in the source.
+
+    The customer lookup (a shuffle join once the dimension is large) runs
+    first, on the un-multiplied sales lines; the product lookup, where the
+    fan-out happens, runs last and is broadcast when the product dimension
+    passes a row-count check. Both are left joins on independent keys, so the
+    order does not change the result.
     """
-    j = lookup(sales, products, ("sls_prd_key", "product_number"), {"product_key": "product_key"},
+    j = lookup(sales, customers, ("sls_cust_id", "customer_id"), {"customer_key": "customer_key"})
+    j = lookup(j, products, ("sls_prd_key", "product_number"), {"product_key": "product_key"},
                normalize=C.trim_spaces, broadcast_rows=SMALL_LOOKUP_ROWS)
-    j = lookup(j, customers, ("sls_cust_id", "customer_id"), {"customer_key": "customer_key"})
     return j.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key", "customer_key",
