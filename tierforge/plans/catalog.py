@@ -135,6 +135,16 @@ def _run_workflow(spark, sf_dir, skip_feeds=()):
     return audit.select("task_name", "layer", "status", "rows_processed")
 
 
+def silver_sales_incremental(spark, sf_dir):
+    """The sales feed as CSV files, loaded into silver by a file stream, one file per micro-batch."""
+    from tierforge.streaming.incremental import stream_silver
+
+    layout = Layout(scratch_path(spark, "stream"))
+    write_feed(_raw_sales(spark, sf_dir), layout.feed("sales"))
+    stream_silver(spark, layout, "silver_sales", files_per_batch=1)
+    return read_table(spark, layout.table("silver_sales"), "parquet")
+
+
 def audit_append(spark, sf_dir):
     return _run_workflow(spark, sf_dir)
 
@@ -311,6 +321,7 @@ def queries() -> dict[str, Query]:
         "dim_customers_ranged": dim_customers_ranged,
         "dim_products": dim_products,
         "fact_sales": fact_sales,
+        "silver_sales_incremental": silver_sales_incremental,
         "row_count_observed": row_count_observed,
         "audit_append": audit_append,
         "run_status": run_status,

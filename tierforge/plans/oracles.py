@@ -221,6 +221,7 @@ def oracles() -> dict[str, str]:
     q["silver_customers"] = _with(RAW_CUST, SILVER_CUST, body="select * from silver_cust")
     q["silver_product_versions"] = _with(RAW_PRD, PRD_DATED, SILVER_PRD, body="select * from silver_prd")
     q["silver_sales"] = _with(RAW_SALES, SILVER_SALES, body="select * from silver_sales")
+    q["silver_sales_incremental"] = q["silver_sales"]
     q["silver_erp_customers"] = _with(RAW_ERP_CUST, SILVER_ERP_CUST, body="select * from silver_erp_cust")
     q["silver_erp_locations"] = _with(RAW_ERP_LOC, SILVER_ERP_LOC, body="select * from silver_erp_loc")
     q["silver_categories"] = _with(RAW_CAT, SILVER_CAT, body="select * from silver_cat")
