@@ -2,19 +2,23 @@
 
 ``Window.orderBy(...)`` with no partition moves every row into a single
 partition. ``method="ranged"`` gives the same numbers (up to the order of
-rows that tie on every order column) with the sort spread over many tasks:
-
-1. count the rows, then sample the order columns (bounded sample);
-2. pick ``B - 1`` cut tuples from the sorted sample;
-3. bucket = deterministic function of a row's order tuple (a balanced
-   comparison tree against the cuts), so recomputation after an executor
-   loss lands every row in the same bucket;
-4. count rows per bucket (``B`` numbers reach the driver) and turn them into
-   offsets;
-5. ``row_number`` within each bucket + the bucket's offset.
-
-Any cuts give correct keys; the sample only balances the buckets. Tuples that
-tie on every order column stay in one bucket, as in the global window.
+rows that tie on every order column) with the work spread over many tasks:
+
+1. range-partition the rows on the order columns (Spark's range partitioner:
+   sampled bounds, binary search per row) and sort within partitions;
+2. in the same job, tag every row with its range partition and its position
+   inside that sorted partition, and write the tagged rows as a table in the
+   session's shared checkpoint folder. This cuts the lineage and fixes the
+   tags: recomputing a range exchange later could draw different bounds, a
+   written table cannot change (task commits are atomic, so a retried task
+   rewrites its whole partition);
+3. count rows per partition from the table (one number per partition reaches
+   the driver) and turn the counts into offsets;
+4. key = partition offset + position, a narrow projection over the table.
+
+Tuples that tie on every order column land in one partition, as in the
+global window; any other hot value of a leading column is split by the
+following order columns.
 """
 
 from __future__ import annotations
@@ -24,106 +28,72 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
-from tierforge.session import checkpoint_dir
+from tierforge.session import scratch_path
 
 # Rows one task numbers at most before the ranged method kicks in (auto), and
-# the most buckets a key assignment uses.
+# the most range partitions one key assignment uses.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1024
-SAMPLE_PER_BUCKET = 64
+MAX_BUCKETS = 8192
+# monotonically_increasing_id puts the partition index above bit 33.
+_PARTITION_SHIFT = 33
 
 
 def _order(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
-def _tuple(cols: Sequence[str]) -> Column:
-    # Always a struct, even for one column: struct comparison is null-aware
-    # (nulls first) where a bare `x >= NULL` would be null.
-    return F.struct(*[F.col(c) for c in cols])
-
-
-def _literal(df: DataFrame, cols: Sequence[str], values) -> Column:
-    types = dict(df.dtypes)
-    return F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, values)])
-
-
-def _bucket_expr(df: DataFrame, cols: Sequence[str], cuts: list[tuple]) -> Column:
-    """Index of the last cut <= the row's tuple (0 before the first cut).
-
-    Nested CASE in binary-search shape: about log2(B) comparisons per row,
-    all inside codegen. Struct comparison orders nulls first, like the sort.
-    """
-    value = _tuple(cols)
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(value >= _literal(df, cols, cuts[mid - 1]), node(mid, hi)).otherwise(node(lo, mid - 1))
-
-    return node(0, len(cuts))
-
-
-def _cuts(df: DataFrame, cols: Sequence[str], buckets: int, rows: int, per_bucket: int, seed: int) -> list[tuple]:
-    target = buckets * per_bucket
-    fraction = min(1.0, target / max(rows, 1))
-    sample = (df.select(*cols).sample(withReplacement=False, fraction=fraction, seed=seed)
-                .orderBy(*_order(cols))
-                .limit(4 * target)            # hard bound on what reaches the driver
-                .collect())
-    if not sample:
-        return []
-    picked: list[tuple] = []
-    for i in range(1, buckets):
-        t = tuple(sample[(i * len(sample)) // buckets])
-        if not picked or picked[-1] != t:
-            picked.append(t)
-    return picked
-
-
 def surrogate_key(df: DataFrame, order: str | Sequence[str], name: str, method: str = "auto",
-                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
-                  sample_per_bucket: int = SAMPLE_PER_BUCKET, seed: int = 17,
-                  materialize: bool = True) -> DataFrame:
+                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Prepend ``name`` = 1..n (bigint) following ``order`` ascending, nulls first.
 
     ``method``: ``"global"`` (one window, one task: only for inputs of known
     small size), ``"ranged"`` (always distributed) or ``"auto"`` (global when
-    the row count fits one bucket, otherwise ranged).
-
-    The ranged path reads its input four times (count, sample, bucket counts,
-    numbering). With ``materialize`` the input is first written once as a
-    reliable checkpoint in the session's shared checkpoint folder, so an
-    upstream join runs once and lineage is cut before the numbering.
+    a row count proves the input fits one bucket, otherwise ranged).
     """
     cols = [order] if isinstance(order, str) else list(order)
     if method not in ("auto", "global", "ranged"):
         raise ValueError(f"unknown surrogate key method {method!r}")
     if method == "global":
         return _global(df, cols, name)
-    if method == "ranged" and materialize:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
     rows = df.count()
-    buckets = max(1, min(max_buckets, math.ceil(rows / rows_per_bucket)))
-    if method == "auto" and buckets == 1:
+    needed = math.ceil(rows / rows_per_bucket)
+    if method == "auto" and needed <= 1:
         return _global(df, cols, name)   # proven: at most rows_per_bucket rows
-    if method == "auto" and materialize:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    cuts = _cuts(df, cols, buckets, rows, sample_per_bucket, seed)
-    bucket = _bucket_expr(df, cols, cuts)
-    tagged = df.withColumn("__b", bucket)
-    counts = dict(tagged.groupBy("__b").count().collect())   # <= len(cuts) + 1 rows
+    # at least one partition per core once the input is big enough to split
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = max(1, min(max_buckets, max(needed, min(cores, math.ceil(rows / 1000)))))
+    return _ranged(df, cols, name, buckets)
+
+
+def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int) -> DataFrame:
+    spark = df.sparkSession
+    pid = F.spark_partition_id()
+    # The range exchange reads its input twice (bound sampling, then the
+    # shuffle); keep it for the duration of the write so upstream joins run
+    # once. A lost cache block is recomputed; the keys depend only on the table.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tagged = (source.repartitionByRange(buckets, *_order(cols))
+                        .sortWithinPartitions(*_order(cols))
+                        .select("*", pid.alias("__p"),
+                                (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _PARTITION_SHIFT))
+                                .alias("__pos")))
+        path = scratch_path(spark, "surrogate-key")
+        tagged.write.parquet(path)
+    finally:
+        source.unpersist()
+    table = spark.read.parquet(path)
+    counts = dict(table.groupBy("__p").count().collect())     # <= buckets rows
     offsets, running = [], 0
-    for b in range(len(cuts) + 1):
+    for p in range(max(counts, default=-1) + 1):
         offsets.append(running)
-        running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__b") + 1)
-    w = Window.partitionBy("__b").orderBy(*_order(cols))
-    return tagged.select((F.row_number().over(w).cast("long") + offset).alias(name), *df.columns)
+        running += counts.get(p, 0)
+    if not offsets:
+        return table.select(F.lit(None).cast("long").alias(name), *df.columns)
+    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__p") + 1)
+    return table.select((base + F.col("__pos") + 1).alias(name), *df.columns)
 
 
 def _global(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
