@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # Defaults: a group is "hot" when one task would have to sort more rows than
 # this; at most this many hot groups are split (the rest stay exact, just unsplit).
 HOT_GROUP_ROWS = 2_000_000
-MAX_HOT_GROUPS = 256
+MAX_HOT_GROUPS = 4096
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_GROUP_ROWS,
