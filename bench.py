@@ -26,7 +26,7 @@ from tierforge.sources.io import Layout  # noqa: E402
 HEADLINE = [
     "silver_customers", "silver_product_versions", "silver_sales", "silver_erp_customers",
     "silver_erp_locations", "silver_categories", "dim_customers", "dim_products", "fact_sales",
-    "keep_latest", "end_date_versions", "surrogate_key_ranged", "left_lookup_trimmed",
+    "keep_latest", "end_date_versions", "left_lookup_trimmed",
 ]
 
 
