@@ -23,13 +23,41 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Settings for a large cluster run (~100 TB of feeds, ~1000 executors). AQE
+# coalesces the generous initial shuffle width down to ~256 MB partitions and
+# splits skewed join partitions; scans are split at 512 MB so a task's input
+# fits comfortably in executor memory; a join side is broadcast automatically
+# only when its *measured* size is small.
+CLUSTER_DEFAULTS = {
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "tierforge", shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """A session with the settings the library expects (AQE on, UTC)."""
+                  extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """A session with the settings the library expects (AQE on, UTC).
+
+    ``profile="cluster"`` applies ``CLUSTER_DEFAULTS`` (sizing for a large
+    cluster); ``"local"`` keeps Spark's defaults plus AQE, UTC and no UI.
+    """
+    if profile not in ("local", "cluster"):
+        raise ValueError("profile must be 'local' or 'cluster'")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_DEFAULTS)
+    conf = dict(LOCAL_DEFAULTS if profile == "local" else CLUSTER_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
