@@ -78,9 +78,10 @@ def test_end_date_split_equals_window(spark):
     df = _versions(spark)
     w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first(), "id")
     expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
-    for hot_rows, splits in [(1000, 8), (2, 3), (1, 64)]:
-        got = end_date_versions(df, "k", "s", ["id"], "e", hot_rows=hot_rows, splits=splits)
-        assert _sorted(got.collect()) == _sorted(expected.collect()), (hot_rows, splits)
+    for hot_rows, split_rows, max_splits in [(1000, 250, 64), (2, 1, 3), (1, 1, 65_536), (1000, 10, 400)]:
+        got = end_date_versions(df, "k", "s", ["id"], "e", hot_rows=hot_rows, split_rows=split_rows,
+                                max_splits=max_splits)
+        assert _sorted(got.collect()) == _sorted(expected.collect()), (hot_rows, split_rows, max_splits)
 
 
 def test_end_dated_intervals_do_not_overlap(spark):

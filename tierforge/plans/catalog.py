@@ -198,7 +198,7 @@ def end_date_versions_q(spark, sf_dir):
 
 def end_date_versions_split(spark, sf_dir):
     """Forces the hot-key path: every key with 2+ versions is split into sub-ranges."""
-    return _end_dated(spark, sf_dir, hot_rows=2, max_hot_keys=256, splits=4)
+    return _end_dated(spark, sf_dir, hot_rows=2, max_hot_keys=256, split_rows=1)
 
 
 def current_versions(spark, sf_dir):
