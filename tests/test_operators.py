@@ -128,6 +128,11 @@ def test_lookup_semantics(spark):
     assert _sorted(plain.select("id", "val").collect()) == _sorted([(1, None), (2, 20), (2, 21), (3, None),
                                                                     (4, None)])
     assert plain.columns == ["id", "k", "val"]
+    try:
+        lookup(left, right, ("k", "k2"), {"v": "id"})
+        raise AssertionError("name clash not detected")
+    except ValueError:
+        pass
 
 
 def test_hot_groups_and_fits(spark):

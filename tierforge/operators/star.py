@@ -32,6 +32,9 @@ def lookup(left: DataFrame, right: DataFrame, on: KeyPairs, take: Mapping[str, s
     computed once per row, before the exchange.
     """
     pairs = [on] if isinstance(on, tuple) and isinstance(on[0], str) else list(on)
+    clash = sorted(set(take.values()) & set(left.columns))
+    if clash:
+        raise ValueError(f"lookup output names already exist on the left side: {clash}")
     norm = normalize or (lambda c: c)
     lkeys = [f"__lk{i}" for i in range(len(pairs))]
     rkeys = [f"__rk{i}" for i in range(len(pairs))]
