@@ -56,15 +56,21 @@ def keep_latest(df: DataFrame, keys: str | Sequence[str], order: str, ties: str
     Same result as ``dense_rank().over(partitionBy(keys).orderBy(desc(order))) == 1``:
     nulls sort last, so a group whose order values are all null keeps all rows.
     ``ties="keep"`` (default, source parity) keeps every tied row;
-    ``ties="first"`` then keeps the row with the smallest ``tie_breaker``.
+    ``ties="first"`` then keeps exactly one row per key, the one with the
+    smallest ``tie_breaker`` (nulls last), like ``row_number() == 1``.
     """
     keys = _as_list(keys)
+    if ties not in ("keep", "first") or (ties == "first" and tie_breaker is None):
+        raise ValueError("ties must be 'keep', or 'first' together with a tie_breaker column")
     out = _keep_extreme(df, keys, order, F.max)
     if ties == "keep":
         return out
-    if ties != "first" or tie_breaker is None:
-        raise ValueError("ties must be 'keep', or 'first' together with a tie_breaker column")
-    return _keep_extreme(out, keys, tie_breaker, F.min)
+    # One partial aggregation over the tied rows: the whole row of the
+    # smallest (tie_breaker is null, tie_breaker) per key.
+    rank = F.struct(F.col(tie_breaker).isNull(), F.col(tie_breaker))
+    picked = out.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), rank).alias("__row"))
+    return picked.select("__row.*")
 
 
 def _ordering(start: str, tie_breaker: Sequence[str]) -> list[Column]:
