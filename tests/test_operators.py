@@ -116,6 +116,7 @@ def test_surrogate_key_ranged_plan_has_no_single_partition(spark):
 
 def test_surrogate_key_auto_small_is_global(spark):
     df = spark.range(0, 10)
+    assert [r.key for r in surrogate_key(df, "id", "key", method="auto").orderBy("id").collect()] == list(range(1, 11))
     assert [r.key for r in surrogate_key(df, "id", "key").orderBy("id").collect()] == list(range(1, 11))
 
 

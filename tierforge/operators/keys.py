@@ -5,7 +5,8 @@ partition. ``method="ranged"`` gives the same numbers (up to the order of
 rows that tie on every order column) with the work spread over many tasks:
 
 1. range-partition the rows on the order columns (Spark's range partitioner:
-   sampled bounds, binary search per row) and sort within partitions;
+   sampled bounds, binary search per row; AQE sizes the partitions) and sort
+   within partitions;
 2. in the same job, tag every row with its range partition and its position
    inside that sorted partition, and write the tagged rows as a table in the
    session's shared checkpoint folder. This cuts the lineage and fixes the
@@ -32,9 +33,9 @@ from pyspark import StorageLevel
 
 from tierforge.session import scratch_path
 
-# Rows one task numbers at most before the ranged method kicks in (auto), and
-# the most range partitions one key assignment uses.
-ROWS_PER_BUCKET = 1_000_000
+# "auto" keeps the single-task window only below this proven row count; an
+# explicit rows_per_bucket sizes the range partitions from a row count, capped.
+GLOBAL_MAX_ROWS = 1_000_000
 MAX_BUCKETS = 8192
 # monotonically_increasing_id puts the partition index above bit 33.
 _PARTITION_SHIFT = 33
@@ -44,30 +45,35 @@ def _order(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
-def surrogate_key(df: DataFrame, order: str | Sequence[str], name: str, method: str = "auto",
-                  rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> DataFrame:
+def surrogate_key(df: DataFrame, order: str | Sequence[str], name: str, method: str = "ranged",
+                  rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
+                  global_max_rows: int = GLOBAL_MAX_ROWS) -> DataFrame:
     """Prepend ``name`` = 1..n (bigint) following ``order`` ascending, nulls first.
 
-    ``method``: ``"global"`` (one window, one task: only for inputs of known
-    small size), ``"ranged"`` (always distributed) or ``"auto"`` (global when
-    a row count proves the input fits one bucket, otherwise ranged).
+    ``method``:
+
+    * ``"ranged"`` (default): always distributed. Without ``rows_per_bucket``
+      the range exchange uses the session's shuffle width and AQE coalesces
+      it to the measured data size, so no row count is needed;
+    * ``"auto"``: counts the rows and uses the global window when there are
+      at most ``global_max_rows``, ranged otherwise;
+    * ``"global"``: one window in one task, for inputs of known small size.
     """
     cols = [order] if isinstance(order, str) else list(order)
     if method not in ("auto", "global", "ranged"):
         raise ValueError(f"unknown surrogate key method {method!r}")
     if method == "global":
         return _global(df, cols, name)
-    rows = df.count()
-    needed = math.ceil(rows / rows_per_bucket)
-    if method == "auto" and needed <= 1:
-        return _global(df, cols, name)   # proven: at most rows_per_bucket rows
-    # at least one partition per core once the input is big enough to split
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    buckets = max(1, min(max_buckets, max(needed, min(cores, math.ceil(rows / 1000)))))
+    rows = df.count() if (method == "auto" or rows_per_bucket is not None) else None
+    if method == "auto" and rows <= global_max_rows:
+        return _global(df, cols, name)   # proven: at most global_max_rows rows
+    buckets = None
+    if rows_per_bucket is not None:
+        buckets = max(1, min(max_buckets, math.ceil(rows / rows_per_bucket)))
     return _ranged(df, cols, name, buckets)
 
 
-def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int) -> DataFrame:
+def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int | None) -> DataFrame:
     spark = df.sparkSession
     pid = F.spark_partition_id()
     # The range exchange reads its input twice (bound sampling, then the
@@ -75,8 +81,9 @@ def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int) -> Data
     # once. A lost cache block is recomputed; the keys depend only on the table.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tagged = (source.repartitionByRange(buckets, *_order(cols))
-                        .sortWithinPartitions(*_order(cols))
+        ranged = (source.repartitionByRange(buckets, *_order(cols)) if buckets
+                  else source.repartitionByRange(*_order(cols)))
+        tagged = (ranged.sortWithinPartitions(*_order(cols))
                         .select("*", pid.alias("__p"),
                                 (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _PARTITION_SHIFT))
                                 .alias("__pos")))
@@ -85,7 +92,7 @@ def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int) -> Data
     finally:
         source.unpersist()
     table = spark.read.parquet(path)
-    counts = dict(table.groupBy("__p").count().collect())     # <= buckets rows
+    counts = dict(table.groupBy("__p").count().collect())     # one row per partition
     offsets, running = [], 0
     for p in range(max(counts, default=-1) + 1):
         offsets.append(running)

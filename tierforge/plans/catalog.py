@@ -79,12 +79,12 @@ def silver_categories(spark, sf_dir):
     return T.silver_categories(_raw_cat(spark, sf_dir))
 
 
-def dim_customers(spark, sf_dir, key_method="auto"):
+def dim_customers(spark, sf_dir, key_method="ranged"):
     return T.dim_customers(silver_customers(spark, sf_dir), silver_erp_customers(spark, sf_dir),
                            silver_erp_locations(spark, sf_dir), key_method)
 
 
-def dim_products(spark, sf_dir, key_method="auto"):
+def dim_products(spark, sf_dir, key_method="ranged"):
     return T.dim_products(silver_product_versions(spark, sf_dir), silver_categories(spark, sf_dir), key_method)
 
 
@@ -283,6 +283,11 @@ def dim_customers_ranged(spark, sf_dir):
     return dim_customers(spark, sf_dir, key_method="ranged")
 
 
+def dim_customers_auto(spark, sf_dir):
+    """Keys by the count-checked method: one window when the dimension is proven small."""
+    return dim_customers(spark, sf_dir, key_method="auto")
+
+
 def queries() -> dict[str, Query]:
     return {
         "scan_project": scan_project,
@@ -319,6 +324,7 @@ def queries() -> dict[str, Query]:
         "silver_categories": silver_categories,
         "dim_customers": dim_customers,
         "dim_customers_ranged": dim_customers_ranged,
+        "dim_customers_auto": dim_customers_auto,
         "dim_products": dim_products,
         "fact_sales": fact_sales,
         "silver_sales_incremental": silver_sales_incremental,

@@ -227,6 +227,7 @@ def oracles() -> dict[str, str]:
     q["silver_categories"] = _with(RAW_CAT, SILVER_CAT, body="select * from silver_cat")
     q["dim_customers"] = _with(*CUST_CHAIN, body="select * from dim_cust")
     q["dim_customers_ranged"] = q["dim_customers"]
+    q["dim_customers_auto"] = q["dim_customers"]
     q["dim_products"] = _with(*PRD_CHAIN, body="select * from dim_prd")
     q["fact_sales"] = _with(*ALL_TABLES, body="select * from fact")
     q["row_count_observed"] = _with(RAW_SALES, SILVER_SALES, body="select 'silver_sales' as table_name, "

@@ -85,7 +85,7 @@ def silver_categories(raw: DataFrame) -> DataFrame:
 
 
 def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations: DataFrame,
-                  key_method: str = "auto") -> DataFrame:
+                  key_method: str = "ranged") -> DataFrame:
     """CRM customers + ERP attributes + location, numbered by customer id.
 
     Both lookups join on the untrimmed CRM key, so Spark shuffles the customers
@@ -108,7 +108,7 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
     return surrogate_key(rows, ["customer_id", "last_name"], "customer_key", method=key_method)
 
 
-def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "auto") -> DataFrame:
+def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "ranged") -> DataFrame:
     """Current product versions + category attributes, numbered by (start, id).
 
     The current-version filter runs before the join and before numbering.

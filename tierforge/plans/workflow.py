@@ -65,7 +65,7 @@ class AuditRecord:
                 self.end_time, float(self.duration_seconds), self.error_message, executed_at)
 
 
-def warehouse_tasks(as_of: str | None = None, key_method: str = "auto") -> list[Task]:
+def warehouse_tasks(as_of: str | None = None, key_method: str = "ranged") -> list[Task]:
     """The nine table builds of the sales warehouse, with their dependencies."""
     return [
         Task("silver.crm_cust_info", "silver", "silver_customers", ("feed:customers",), T.silver_customers),
