@@ -66,8 +66,11 @@ def raw_products(part: DataFrame) -> DataFrame:
 
 def raw_sales(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    # lineitem and orders both grow with the data: a shuffle (sort-merge) join
+    # at every scale, never a broadcast chosen from a small file's size.
     joined = (li.join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-                .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")))
+                .join(orders.select("o_orderkey", "o_custkey").hint("merge"),
+                      F.col("l_orderkey") == F.col("o_orderkey")))
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     ymd = _ymd(F.col("l_shipdate"))
     qty = F.col("l_quantity").cast("int")

@@ -19,6 +19,10 @@ LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Test-sized data: AQE would coalesce a whole shuffle into one partition
+    # and run the fact's fan-out join (x6 rows) in one task. Small advisory
+    # partitions keep every local core busy; the cluster profile uses 256 MB.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(4 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
