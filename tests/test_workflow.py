@@ -148,3 +148,12 @@ def test_fixture_feeds_match_sql(spark, sf_dir):
         expected = sorted(tuple(map(str, r)) for r in con.sql(f"with {cte} select * from {view}").fetchall())
         got = sorted(tuple(map(str, r)) for r in f[name].collect())
         assert got == expected, name
+
+
+def test_command_line_runs_the_load(spark, sf_dir):
+    from tierforge.__main__ import main
+
+    root = scratch_path(spark, "cli")
+    write_feeds(X.feeds(spark, sf_dir), Layout(root))
+    assert main(["--root", root, "--profile", "local", "--as-of", AS_OF]) == 0
+    assert read_table(spark, Layout(root).table("fact_sales")).count() > 0

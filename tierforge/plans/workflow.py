@@ -164,6 +164,23 @@ class Workflow:
         return records
 
 
+def run_warehouse(spark: SparkSession, root: str, storage_settings: dict[str, str] | None = None,
+                  as_of: str | None = None, on_failure: str = "skip", key_method: str = "ranged",
+                  fmt: str | None = None, explicit_schemas: bool = True) -> list[AuditRecord]:
+    """The whole load in one call: storage settings, nine tasks, audit append.
+
+    Feeds are read from ``<root>/bronze``; tables go to ``<root>/silver`` and
+    ``<root>/gold``; audit rows to ``<root>/audit``.
+    """
+    from tierforge.sources.io import configure_storage
+
+    if storage_settings:
+        configure_storage(spark, storage_settings)
+    tasks = warehouse_tasks(as_of=as_of, key_method=key_method)
+    return Workflow(tasks, Layout(root), fmt=fmt, on_failure=on_failure,
+                    explicit_schemas=explicit_schemas).run(spark)
+
+
 def write_audit(spark: SparkSession, records: Sequence[AuditRecord], path: str) -> None:
     """Every record of a run in one append (one small file per run)."""
     if not records:
