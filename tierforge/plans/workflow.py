@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
@@ -52,6 +53,7 @@ class AuditRecord:
     start_time: dt.datetime | None = None
     end_time: dt.datetime | None = None
     error_message: str | None = None
+    job_group: str | None = None           # Spark job group of the task's jobs (not written to the log)
     duration_seconds: float = field(init=False, default=0.0)
 
     def __post_init__(self) -> None:
@@ -116,8 +118,12 @@ class Workflow:
             return read_feed(spark, self.layout.feed(feed), FEEDS[feed] if self.explicit_schemas else None)
         return read_table(spark, self.layout.table(name), fmt)
 
-    def _run_task(self, spark: SparkSession, task: Task, fmt: str) -> AuditRecord:
+    def _run_task(self, spark: SparkSession, task: Task, fmt: str, run_id: str) -> AuditRecord:
         start = dt.datetime.now(dt.timezone.utc)
+        # One job group per task run (thread-local): its jobs can be listed or
+        # cancelled together (SparkContext.cancelJobGroup).
+        group = f"tierforge-{run_id}-{task.name}"
+        spark.sparkContext.setJobGroup(group, f"tierforge task {task.name}")
         try:
             log.info("task %s: start", task.name)
             df = task.build(*[self._input(spark, i, fmt) for i in task.inputs])
@@ -126,10 +132,12 @@ class Workflow:
         except Exception as exc:  # noqa: BLE001 - one failed task must not lose the others' audit rows
             log.exception("task %s failed", task.name)
             rows, status, error = 0, FAILED, str(exc)
-        return AuditRecord(task.name, task.layer, status, rows, start, dt.datetime.now(dt.timezone.utc), error)
+        return AuditRecord(task.name, task.layer, status, rows, start, dt.datetime.now(dt.timezone.utc), error,
+                           job_group=group)
 
     def run(self, spark: SparkSession) -> list[AuditRecord]:
         fmt = self.fmt or table_format(spark)
+        run_id = uuid.uuid4().hex[:12]
         by_output = {t.output: t for t in self.tasks}
         done: dict[str, AuditRecord] = {}
         pending = list(self.tasks)
@@ -149,7 +157,7 @@ class Workflow:
                             done[task.name] = AuditRecord(task.name, task.layer, SKIPPED, 0,
                                                           error_message=f"upstream not successful: {bad}")
                             continue
-                        running[pool.submit(self._run_task, spark, task, fmt)] = task
+                        running[pool.submit(self._run_task, spark, task, fmt, run_id)] = task
                     if not running:
                         if pending and not progressed:
                             raise ValueError(f"cyclic task dependencies among {[t.name for t in pending]}")
