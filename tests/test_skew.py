@@ -63,3 +63,17 @@ def test_keep_latest_hot_key_spreads_over_order_values(spark):
         sizes = (versions.repartition(16, "dt", "k").groupBy(F.spark_partition_id().alias("p")).count()
                          .agg(F.max("count")).first()[0])
         assert sizes < N / 3
+
+
+def test_ranged_keys_split_a_hot_leading_value(spark):
+    from tierforge.operators import surrogate_key
+
+    df = spark.range(0, N).select(_hot("customer_id"), F.col("id").cast("string").alias("last_name"))
+    keyed = surrogate_key(df, ["customer_id", "last_name"], "key", rows_per_bucket=N // 16)
+    per_file = keyed.groupBy(F.input_file_name().alias("f")).count()
+    hot_files = (keyed.where(F.col("customer_id") == 0).select(F.input_file_name().alias("f"))
+                      .distinct().count())
+    assert hot_files > 1                                   # the hot value spans several partitions
+    assert per_file.agg(F.max("count")).first()[0] < N / 3  # and no partition holds its whole group
+    stats = keyed.agg(F.min("key"), F.max("key"), F.countDistinct("key")).first()
+    assert tuple(stats) == (1, N, N)
