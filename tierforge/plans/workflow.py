@@ -20,7 +20,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tierforge.plans import tables as T
-from tierforge.sources.io import Layout, append_rows, read_feed, read_table, table_format, write_table
+from tierforge.sources.io import (
+    Layout,
+    append_rows,
+    configure_storage,
+    read_feed,
+    read_table,
+    table_format,
+    write_feed,
+    write_table,
+)
 from tierforge.sources.schemas import AUDIT, FEEDS
 
 log = logging.getLogger("tierforge")
@@ -180,8 +189,6 @@ def run_warehouse(spark: SparkSession, root: str, storage_settings: dict[str, st
     Feeds are read from ``<root>/bronze``; tables go to ``<root>/silver`` and
     ``<root>/gold``; audit rows to ``<root>/audit``.
     """
-    from tierforge.sources.io import configure_storage
-
     if storage_settings:
         configure_storage(spark, storage_settings)
     tasks = warehouse_tasks(as_of=as_of, key_method=key_method)
@@ -199,7 +206,5 @@ def write_audit(spark: SparkSession, records: Sequence[AuditRecord], path: str)
 
 def write_feeds(feeds: dict[str, DataFrame], layout: Layout) -> None:
     """Write raw feeds as headed CSV under ``layout`` (test and bench setup)."""
-    from tierforge.sources.io import write_feed
-
     for name, df in feeds.items():
         write_feed(df, layout.feed(name))
