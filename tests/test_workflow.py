@@ -103,6 +103,13 @@ def test_continue_mode_runs_dependants(spark, feeds_layout):
     assert records["gold.dim_products"].status == FAILED
 
 
+def test_build_must_return_a_dataframe(spark, feeds_layout):
+    layout = _fresh(spark, feeds_layout)
+    bad = Task("silver.erp_px_cat_g1v2", "silver", "silver_categories", ("feed:categories",), lambda raw: {"x": 1})
+    (rec,) = Workflow([bad], layout).run(spark)
+    assert rec.status == FAILED and "must build a DataFrame" in rec.error_message
+
+
 def test_cycle_and_missing_inputs_rejected(spark, feeds_layout):
     t1 = Task("a", "x", "ta", ("tb",), lambda x: x)
     t2 = Task("b", "x", "tb", ("ta",), lambda x: x)

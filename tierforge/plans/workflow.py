@@ -136,6 +136,8 @@ class Workflow:
         try:
             log.info("task %s: start", task.name)
             df = task.build(*[self._input(spark, i, fmt) for i in task.inputs])
+            if not isinstance(df, DataFrame):
+                raise TypeError(f"task {task.name} must build a DataFrame, got {type(df).__name__}")
             rows = write_table(df, self.layout.table(task.output), fmt)
             status, error = SUCCESS, None
         except Exception as exc:  # noqa: BLE001 - one failed task must not lose the others' audit rows
