@@ -26,7 +26,8 @@ from tierforge.sources.io import Layout  # noqa: E402
 
 HEADLINE = [
     "silver_customers", "silver_product_versions", "silver_sales", "silver_erp_customers",
-    "silver_erp_locations", "silver_categories", "dim_customers", "dim_products", "fact_sales",
+    "silver_erp_locations", "silver_categories", "dim_customers", "dim_customers_auto", "dim_products",
+    "fact_sales",
     "keep_latest", "end_date_versions", "left_lookup_trimmed",
 ]
 
