@@ -24,6 +24,7 @@ def test_layout_paths():
     assert lay.table("silver_categories") == "/w/silver/source_erp/erp_px_cat_g1v2"
     assert lay.table("fact_sales") == "/w/gold/fact_sales"
     assert lay.audit() == "/w/audit/etl_audit"
+    assert lay.table("my_extra_table") == "/w/tables/my_extra_table"
 
 
 def test_configure_storage_sets_session_keys(spark):

@@ -55,7 +55,7 @@ class Layout:
             return os.path.join(self.root, SILVER, system, table)
         if name in GOLD_TABLES:
             return os.path.join(self.root, GOLD, name)
-        raise KeyError(name)
+        return os.path.join(self.root, "tables", name)      # tables of user-defined tasks
 
     def audit(self) -> str:
         return os.path.join(self.root, AUDIT_DIR, AUDIT_TABLE)
