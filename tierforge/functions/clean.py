@@ -66,14 +66,13 @@ def code_key(c: ColumnOrName) -> Column:
 def decode(key: Column, mapping: Mapping[str, str], default: ColumnOrName | str | None) -> Column:
     """Map ``key`` through ``mapping``; anything else (null included) -> ``default``.
 
-    One CASE expression: the key is evaluated once per branch test and Catalyst
-    folds the chain; a null key takes no branch.
+    A lookup in a literal map: the key expression (e.g. upper(trim(...))) is
+    evaluated once per row, where a CASE chain would repeat it in every branch
+    condition. A missing or null key gives null, then the default.
     """
-    out = None
-    for code, label in mapping.items():
-        out = F.when(key == F.lit(code), F.lit(label)) if out is None else out.when(key == F.lit(code), F.lit(label))
+    labels = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
     fallback = default if isinstance(default, Column) else F.lit(default)
-    return fallback if out is None else out.otherwise(fallback)
+    return F.coalesce(F.try_element_at(labels, key), fallback)
 
 
 def decode_marital_status(c: ColumnOrName) -> Column:
