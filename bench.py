@@ -53,14 +53,18 @@ def main() -> None:
 
     queries = catalog.queries()
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:                     # best of REPEAT: the first run pays JIT warm-up
         best = None
-        for _ in range(REPEAT):
-            t0 = time.perf_counter()
-            _run(queries[name](spark, sf_dir))
-            elapsed = time.perf_counter() - t0
-            best = elapsed if best is None else min(best, elapsed)
-        timings[name] = round(best, 3)
+        try:
+            for _ in range(REPEAT):
+                t0 = time.perf_counter()
+                _run(queries[name](spark, sf_dir))
+                elapsed = time.perf_counter() - t0
+                best = elapsed if best is None else min(best, elapsed)
+            timings[name] = round(best, 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep measuring the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
 
     layout = Layout(scratch_path(spark, "bench-warehouse"))
     t0 = time.perf_counter()
@@ -104,6 +108,8 @@ def main() -> None:
     }
     if failed:
         out["failed_tasks"] = failed
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
