@@ -164,3 +164,19 @@ def test_command_line_runs_the_load(spark, sf_dir):
     write_feeds(X.feeds(spark, sf_dir), Layout(root))
     assert main(["--root", root, "--profile", "local", "--as-of", AS_OF]) == 0
     assert read_table(spark, Layout(root).table("fact_sales")).count() > 0
+
+
+def test_runner_error_still_writes_finished_audit_rows(spark, feeds_layout):
+    layout = _fresh(spark, feeds_layout)
+
+    class Broken(Workflow):
+        def _run_task(self, spark, task, fmt, run_id):
+            if task.name == "gold.fact_sales":
+                raise RuntimeError("runner failure outside the task wrapper")
+            return super()._run_task(spark, task, fmt, run_id)
+
+    with pytest.raises(RuntimeError):
+        Broken(warehouse_tasks(as_of=AS_OF), layout).run(spark)
+    written = {r.task_name: r.status for r in _audit(spark, layout).collect()}
+    assert len(written) == 8 and "gold.fact_sales" not in written
+    assert set(written.values()) == {SUCCESS}
