@@ -1,6 +1,6 @@
 """Command line: run the warehouse load.
 
-    spark-submit --py-files tierforge.zip -m tierforge --root s3a://bucket/warehouse
+    spark-submit --py-files tierforge.zip tierforge/__main__.py --root s3a://bucket/warehouse
     python -m tierforge --root /data/warehouse --master local[8]
 
 Exit status 1 when any task did not succeed.
@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from tierforge.plans.workflow import SUCCESS, run_warehouse
-from tierforge.session import build_session
+if __package__ in (None, ""):            # run as a file (spark-submit tierforge/__main__.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tierforge.plans.workflow import SUCCESS, run_warehouse  # noqa: E402
+from tierforge.session import build_session  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> int:
