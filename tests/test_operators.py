@@ -141,3 +141,16 @@ def test_hot_groups_and_fits(spark):
     hot = hot_groups(df, ["k"], min_rows=100, limit=5).collect()
     assert [(r["k"], r["__rows"]) for r in hot] == [(0, 400)]
     assert fits(df, 1000) and not fits(df, 999)
+
+
+def test_operators_accept_empty_inputs(spark):
+    empty = spark.createDataFrame([], "k int, s date, i int")
+    assert keep_latest(empty, "k", "s").count() == 0
+    assert keep_latest(empty, "k", "s", ties="first", tie_breaker="i").count() == 0
+    assert end_date_versions(empty, "k", "s", ["i"], "e").columns == ["k", "s", "i", "e"]
+    assert end_date_versions(empty, "k", "s", ["i"], "e", hot_rows=1).count() == 0
+    for method in ("global", "ranged", "auto"):
+        keyed = surrogate_key(empty, ["k", "i"], "key", method=method)
+        assert keyed.count() == 0 and keyed.columns == ["key", "k", "s", "i"]
+    right = spark.createDataFrame([], "k2 int, v int")
+    assert lookup(empty, right, ("k", "k2"), {"v": "val"}).count() == 0
