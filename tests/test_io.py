@@ -70,3 +70,22 @@ def test_append_rows_appends_one_file(spark):
     df = spark.read.schema(AUDIT).parquet(path)
     assert df.count() == 3
     assert len(df.inputFiles()) == 2
+
+
+def test_malformed_value_becomes_null_under_explicit_schema(spark):
+    from tierforge.plans.tables import silver_customers
+    from tierforge.sources.schemas import CUSTOMERS_FEED
+
+    path = scratch_path(spark, "bad-csv")
+    lines = spark.createDataFrame([("cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,"
+                                    "cst_create_date",),
+                                   ("12,AW1, Ann ,Lee,S,F,2020-01-05",),
+                                   ("abc,AW2,Bo,Kim,M,M,2020-02-01",),
+                                   ("13,AW3,Cy,Ray,M,M,not-a-date",)], "value string")
+    lines.coalesce(1).write.text(path)
+    raw = read_feed(spark, path, CUSTOMERS_FEED)
+    assert dict(raw.dtypes)["cst_id"] == "bigint"         # the column stays numeric
+    by_key = {r.cst_key: r for r in raw.collect()}
+    assert by_key["AW2"].cst_id is None                    # the malformed id alone becomes null
+    assert by_key["AW3"].cst_create_date is None           # so does the malformed date
+    assert sorted(r.cst_key for r in silver_customers(raw).collect()) == ["AW1", "AW3"]
