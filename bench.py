@@ -4,7 +4,8 @@ Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line. Queries are executed with the ``noop`` sink (full
 execution, no result transfer); ``warehouse_run`` is the whole nine-task load
 from CSV feeds to parquet tables plus the audit append. Each timing is the
-best of BENCH_REPEAT (default 2) runs; ``feeds_to_csv`` is the one-off setup.
+best of BENCH_REPEAT (default 2) runs; ``feeds_to_csv`` is the one-off setup,
+reported but left out of ``value``.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ HEADLINE = [
 
 
 REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+SETUP = {"feeds_to_csv"}      # writing the test feeds: reported, not part of the total
 
 
 def _run(df) -> None:
@@ -98,7 +100,7 @@ def main() -> None:
 
     out = {
         "metric": "total_seconds",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for k, v in timings.items() if k not in SETUP), 3),
         "unit": "sec",
         "queries": timings,
         "sf": sf,
