@@ -96,6 +96,8 @@ def main() -> None:
         "single_partition_exchanges_in_gold_plans": sum(p.count("SinglePartition") for p in gold_plans.values()),
         # AQE submits one job per query stage, so a task with shuffles has several jobs for its one write
         "spark_jobs_per_task": {r.task_name: len(tracker.getJobIdsForGroup(r.job_group)) for r in records},
+        # per-task wall time inside the last warehouse run (tasks without dependencies overlap)
+        "task_seconds": {r.task_name: round(r.duration_seconds, 3) for r in records},
     }
 
     out = {
