@@ -145,6 +145,16 @@ def silver_sales_incremental(spark, sf_dir):
     return read_table(spark, layout.table("silver_sales"), "parquet")
 
 
+def silver_erp_locations_incremental(spark, sf_dir):
+    """The ERP location feed loaded into silver by a file stream, one file per micro-batch."""
+    from tierforge.streaming.incremental import stream_silver
+
+    layout = Layout(scratch_path(spark, "stream"))
+    write_feed(_raw_erp_loc(spark, sf_dir), layout.feed("erp_locations"))
+    stream_silver(spark, layout, "silver_erp_locations", files_per_batch=1)
+    return read_table(spark, layout.table("silver_erp_locations"), "parquet")
+
+
 def audit_append(spark, sf_dir):
     return _run_workflow(spark, sf_dir)
 
@@ -328,6 +338,7 @@ def queries() -> dict[str, Query]:
         "dim_products": dim_products,
         "fact_sales": fact_sales,
         "silver_sales_incremental": silver_sales_incremental,
+        "silver_erp_locations_incremental": silver_erp_locations_incremental,
         "row_count_observed": row_count_observed,
         "audit_append": audit_append,
         "run_status": run_status,

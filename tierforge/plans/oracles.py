@@ -224,6 +224,7 @@ def oracles() -> dict[str, str]:
     q["silver_sales_incremental"] = q["silver_sales"]
     q["silver_erp_customers"] = _with(RAW_ERP_CUST, SILVER_ERP_CUST, body="select * from silver_erp_cust")
     q["silver_erp_locations"] = _with(RAW_ERP_LOC, SILVER_ERP_LOC, body="select * from silver_erp_loc")
+    q["silver_erp_locations_incremental"] = q["silver_erp_locations"]
     q["silver_categories"] = _with(RAW_CAT, SILVER_CAT, body="select * from silver_cat")
     q["dim_customers"] = _with(*CUST_CHAIN, body="select * from dim_cust")
     q["dim_customers_ranged"] = q["dim_customers"]
