@@ -19,7 +19,8 @@ from tierforge.session import build_session, checkpoint_dir  # noqa: E402
 
 # Queries whose result is a read of a table they wrote: their plan is a scan.
 WRITES_FIRST = {"scan_csv_explicit", "scan_csv_infer", "overwrite_roundtrip", "row_count_observed",
-                "audit_append", "run_status", "silver_sales_incremental"}
+                "audit_append", "run_status", "silver_sales_incremental",
+                "silver_erp_locations_incremental"}
 
 PATTERNS = {
     "hash shuffles": r"Exchange hashpartitioning",
