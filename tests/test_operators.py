@@ -154,3 +154,22 @@ def test_operators_accept_empty_inputs(spark):
         assert keyed.count() == 0 and keyed.columns == ["key", "k", "s", "i"]
     right = spark.createDataFrame([], "k2 int, v int")
     assert lookup(empty, right, ("k", "k2"), {"v": "val"}).count() == 0
+
+
+def test_end_date_split_with_a_composite_key(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        a = "hot" if i % 2 == 0 else rng.choice(["x", "y", None])
+        b = 1 if i % 2 == 0 else rng.choice([1, 2, None])
+        start = None if rng.random() < 0.05 else d.date(2018, 1, 1) + d.timedelta(days=rng.randint(0, 300))
+        rows.append((i, a, b, start))
+    df = spark.createDataFrame(rows, "id int, a string, b int, s date")
+    w = Window.partitionBy("a", "b").orderBy(F.col("s").asc_nulls_first(), "id")
+    expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
+    got = end_date_versions(df, ["a", "b"], "s", ["id"], "e", hot_rows=100, split_rows=50)
+    assert _sorted(got.collect()) == _sorted(expected.collect())
+    got = keep_latest(df, ["a", "b"], "s")
+    wk = Window.partitionBy("a", "b").orderBy(F.col("s").desc())
+    assert _sorted(got.collect()) == _sorted(df.withColumn("r", F.dense_rank().over(wk)).where("r = 1").drop("r")
+                                             .collect())
