@@ -74,11 +74,20 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``from, to, row`` of every word (run of no white space inside one row)."""
+# Bytes of folded words: A-Z become a-z, other ASCII but digits ends a word (0).
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[:0x80] = 0
+for _first, _last in (("0", "9"), ("a", "z")):
+    FOLDED[ord(_first):ord(_last) + 1] = np.arange(ord(_first), ord(_last) + 1)
+FOLDED[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
+
+
+def word_bounds(data: np.ndarray, starts: np.ndarray,
+                seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``from, to, row`` of every word: a run of ``seen`` bytes (no white space by default) inside one row."""
     if len(data) == 0:
         return (np.empty(0, np.int64),) * 3
-    seen = ~_SPACE[data]
+    seen = ~_SPACE[data] if seen is None else seen
     begins = starts[:-1][starts[:-1] < len(data)]
     first = seen.copy()
     first[1:] &= ~seen[:-1]

@@ -1,7 +1,8 @@
 """Near-duplicate classes by ProbMinHash.
 
 A text is the multiset of its shingles of WORDS words, weighted by their
-counts. Every shingle sends arrivals of a Poisson process of its weight to
+counts. Words are runs of letters and digits (any character beyond ASCII
+counts as a letter), with A-Z folded to a-z. Every shingle sends arrivals of a Poisson process of its weight to
 random registers; a register keeps the shingle that arrives first, and a
 shingle stops once its next arrival is later than every register's. Two
 texts' registers agree with the probability Jaccard similarity of their
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tierforge.llm import blobs
 from tierforge.llm.common import fingerprint, parts_for, ship, spread_join, written
-from tierforge.llm.hashing import joined, mix, ranged, text_bytes, window_hashes, word_bounds
+from tierforge.llm.hashing import FOLDED, joined, mix, ranged, text_bytes, window_hashes, word_bounds
 from tierforge.llm.tokens import slices
 
 WORDS, SIMILARITY = 5, 0.8
@@ -45,12 +46,14 @@ SLICE_BYTES = 1 << 20
 
 _ENTRY = ("<u8", "<u8", "<u4", "<i8", "<i8", "<u4", "<u4")    # band key, longer key, text | k1, k2 | pairs of texts
 KEY = ("c1", "c2")
+LETTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"      # any character of a word
 
 
 def shingles(column: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``row, shingle hash, count`` of every distinct shingle, by row."""
     data, starts = text_bytes(column)
-    lo, hi, row = word_bounds(data, starts)
+    data = FOLDED[data]
+    lo, hi, row = word_bounds(data, starts, data > 0)
     units = data.astype(np.uint64) + np.uint64(1)
     word = mix(ranged(units, lo, hi, 0) + (hi - lo).astype(np.uint64))
     runs = window_hashes(word, size) if len(word) >= size else word[:0]
@@ -326,7 +329,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     labels = components(links).select("node.*", "label")
     degree = links.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("n_links"))
     texts = rows.groupBy(*KEY).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"),
-                                   F.max(F.length(F.trim("text")) > 0).alias("worded"))
+                                   F.max(F.col("text").rlike(LETTER)).alias("worded"))
     texts = (texts.join(labels, list(KEY), "left").join(degree.select("n.c1", "n.c2", "n_links"), list(KEY), "left")
                   .withColumn("label", F.coalesce("label", F.struct(*KEY))))
     texts = written(texts, "near-texts-classes")
