@@ -13,14 +13,14 @@ where the elected run is the window itself. Elected runs are few (about one in
 six positions for 10 of 20 words).
 
 Every level is a Spark shuffle of hashes: runs of equal hash meet in one part,
-after each task has merged its own. At the target level 128-bit hashes decide
+after each task has merged its own. At the target level 96-bit hashes decide
 and the smallest (document, position) is the first occurrence; occurrences
 that a task sees beside an earlier one are settled before the shuffle, so a
 hot passage sends one entry per task.
 
 Defined cases: a null text has no words; texts below ``target`` words keep all;
 rows that repeat id and text count as one document; a null id counts as the
-largest; ids must cast to bigint; other columns may be null or bear any name;
+largest; ids are integers; other columns may be null or bear any name;
 an empty table gives an empty table.
 """
 
@@ -32,6 +32,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,10 @@ BASE, TARGET = 10, 20
 SLICE_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max
 
-_LEVEL = ("<u8", "<u4", "<u4", "<i8", "<i8")                     # run hash, document, place | k1, k2 of documents
-_OPEN = ("<u8", "<u8", "<u4", "<u4", "<i8", "<i8", "<i8")        # window hash (2), document, place | k1, k2, id
+# Hash columns, place (two halves), | entries per document, k1, k2 (and id) of documents.
+# A level below the target only filters, so 48 bits serve it; the target takes 96 bits.
+_LEVEL = ("<u4", "<u2", "<u2", "<u2", "<u4", "<i8", "<i8")
+_OPEN = ("<u8", "<u4", "<u2", "<u2", "<u4", "<i8", "<i8", "<i8")
 _RUN = "k1 bigint, k2 bigint, at int, n int"
 
 
@@ -92,26 +95,28 @@ def _alive(words: _Words, lists: list, lengths: list[int], target: int) -> np.nd
     return words.windows[mark[best]]
 
 
-def _send(part: np.ndarray, doc: np.ndarray, columns: list[np.ndarray], keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
-    """Blobs with ``columns[:-1], doc, columns[-1]`` and the keys of the documents they name."""
+def _send(part: np.ndarray, doc: np.ndarray, hashes: list[np.ndarray], place: np.ndarray,
+          keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    """Blobs of hashes and places, by document, with the keys of the documents they name."""
+    order = np.lexsort((place, doc))
     out = []
-    for p, share in blobs.deal(part, [doc, *columns]):
-        named, local = np.unique(share[0], return_inverse=True)
-        out.append((p, blobs.pack([*share[1:-1], local.astype("<u4"), share[-1].astype("<u4"),
+    for p, (d, at, *share) in blobs.deal(part[order], [c[order] for c in (doc, place, *hashes)]):
+        named, count = np.unique(d, return_counts=True)
+        out.append((p, blobs.pack([*share, (at & 0xFFFF).astype("<u2"), (at >> 16).astype("<u2"), count.astype("<u4"),
                                    *[k[named] for k in keys]])))
     return out
 
 
-def _receive(batches: Iterator[pa.RecordBatch], dtypes: tuple[str, ...], hashes: int) -> list[np.ndarray]:
-    """Hash columns, place, and the keys of every entry."""
+def _receive(batches: Iterator[pa.RecordBatch], dtypes: tuple[str, ...]) -> list[np.ndarray]:
+    """Two hash columns, place, and the keys of every entry."""
     found = []
     for batch in batches:
         for b in batch.column("blob"):
-            cols = blobs.unpack(b.as_py(), dtypes)
-            local = cols[hashes]
-            found.append([*cols[:hashes], cols[hashes + 1], *[k[local] for k in cols[hashes + 2:]]])
+            one, two, low, high, count, *keys = blobs.unpack(b.as_py(), dtypes)
+            found.append([one, two, low.astype(np.int64) + (high.astype(np.int64) << 16),
+                          *[np.repeat(k, count) for k in keys]])
     if not found:
-        return [np.empty(0, dtype=d) for d in (*dtypes[:hashes], dtypes[hashes + 1], *dtypes[hashes + 2:])]
+        return [np.empty(0, dtype=d) for d in (*dtypes[:2], "<i8", *dtypes[5:])]
     return [np.concatenate(c) for c in zip(*found)]
 
 
@@ -157,10 +162,13 @@ def _level(rows: DataFrame, lengths: list[int], target: int, parts: int, tasks:
             label = run.copy()
             label[again] = mix(run[again] + doc[again].astype(np.uint64))
             twice = np.concatenate([np.arange(len(run)), np.flatnonzero(first | again)])
-            yield blobs.rows(_send(part[twice], doc[twice].astype(np.int64), [label[twice], place[twice]], keys))
+            hashes = [(label[twice] & np.uint64(0xFFFFFFFF)).astype("<u4"),
+                      (label[twice] >> np.uint64(48)).astype("<u2")]
+            yield blobs.rows(_send(part[twice], doc[twice].astype(np.int64), hashes, place[twice], keys))
 
     def survive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, place, k1, k2 = _receive(batches, _LEVEL, 1)
+        low, high, place, k1, k2 = _receive(batches, _LEVEL)
+        run = low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
         order = np.argsort(run, kind="stable")
         same = run[order][1:] == run[order][:-1]
         twice = np.zeros(len(run), dtype=bool)
@@ -181,13 +189,14 @@ def _level(rows: DataFrame, lengths: list[int], target: int, parts: int, tasks:
 def later_windows(rows: DataFrame, lengths: list[int], target: int, parts: int, tasks: int) -> DataFrame:
     """``(k1, k2, at, n)``: runs of window starts that have an earlier occurrence.
 
-    ``rows``: ``k1, k2, id, text, alive`` of the level below the target.
+    ``rows``: ``k1, k2, doc_id, text, alive`` of the level below the target.
     """
     below = lengths[-1]
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = _keys(batch, "k1", "k2", "id")
+            ids = pc.fill_null(batch.column("doc_id").cast(pa.int64()), int(NO_ID))
+            keys = [*_keys(batch, "k1", "k2"), ids.to_numpy(zero_copy_only=False)]
             column = batch.column("text")
             found = []
             for lo, hi in slices(column, SLICE_BYTES):
@@ -197,7 +206,7 @@ def later_windows(rows: DataFrame, lengths: list[int], target: int, parts: int,
                 one = window_hashes(words.first, target)
                 two = window_hashes(words.second, target)
                 # the elected run chooses the part: neighbouring windows go together
-                found.append((one[windows], two[windows], words.row[windows] + lo, words.place(windows),
+                found.append((one[windows], two[windows] >> np.uint64(32), words.row[windows] + lo, words.place(windows),
                               mix(runs[best])))
             if not found:
                 continue
@@ -210,11 +219,10 @@ def later_windows(rows: DataFrame, lengths: list[int], target: int, parts: int,
             part[later] = (keys[0][doc[later]].astype(np.uint64) % np.uint64(parts)).astype(np.int32)
             one, two = one.copy(), two.copy()
             one[later] = two[later] = 0
-            back = np.lexsort((place, doc))
-            yield blobs.rows(_send(part[back], doc[back], [one[back], two[back], place[back]], keys))
+            yield blobs.rows(_send(part, doc, [one, two.astype("<u4")], place, keys))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, place, k1, k2, ids = _receive(batches, _OPEN, 2)
+        one, two, place, k1, k2, ids = _receive(batches, _OPEN)
         order = np.lexsort((place, k1, ids, two, one))
         one, two, place, k1, k2, ids = (c[order] for c in (one, two, place, k1, k2, ids))
         later = _not_first(one, two, ids, k1, place) | ((one == 0) & (two == 0))
@@ -260,8 +268,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # one layout for every use, so that the exchange of the texts is made once
     rows = keyed(named, "doc_id", "text").select(
-        F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "doc_id",
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(NO_ID))).alias("id"), "text")
+        F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), "doc_id", "text")
     parts = parts_for(named)
     tasks, parts = parts, parts * blobs.PARTS_PER_TASK
     alive = None
@@ -269,7 +276,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         source = rows if alive is None else rows.join(alive, ["k1", "k2"])
         columns = ["k1", "k2", "text"] + ([] if alive is None else ["alive"])
         alive = _level(source.select(*columns), lengths[:i + 1], target, parts, tasks)
-    last = rows.join(alive, ["k1", "k2"]).select("k1", "k2", "id", "text", "alive")
+    last = rows.join(alive, ["k1", "k2"]).select("k1", "k2", "doc_id", "text", "alive")
     runs = later_windows(last, lengths, target, parts, tasks)
     spans = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n")).alias("spans"))   # of one document
     kind = named.schema["doc_id"].dataType.simpleString()

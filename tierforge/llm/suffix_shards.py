@@ -317,7 +317,7 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
 
 
 def _search(rows: DataFrame, target: int, parts: int, tasks: int, shard_bytes: int) -> DataFrame:
-    """``(k1, k2, at, n)``: runs of repeated window starts. ``rows``: ``k1, k2, text, regions``."""
+    """``(k1, k2, at, n)``: runs of repeated window starts. ``rows``: ``k1, k2, doc_id, text, regions``."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2")]
@@ -481,7 +481,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = parts_for(named)
     tasks, parts = parts, parts * blobs.PARTS_PER_TASK
     regions = _anchors(rows, target, parts, tasks, hot_regions)
-    source = rows.join(regions, ["k1", "k2"]).select("k1", "k2", "text", "regions")
+    # the columns of the last join, so that one exchange of the texts serves both
+    source = rows.join(regions, ["k1", "k2"]).select("k1", "k2", "doc_id", "text", "regions")
     runs = _search(source, target, parts, tasks, shard_bytes)
     found = runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n")).alias("runs"))     # of one document
     kind = named.schema["doc_id"].dataType.simpleString()
