@@ -40,7 +40,7 @@ from tierforge.llm.tokens import slices
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 ARRIVALS = 800            # that a text gets in one round, at least
-ALL_PAIRS, LEADERS, CHAIN = 8, 3, 2
+ALL_PAIRS, LEADERS, CHAIN = 8, 1, 2
 LOCAL = 64
 SLICE_BYTES = 1 << 20
 
@@ -152,7 +152,8 @@ def _paired(key: np.ndarray, longer: np.ndarray, text: np.ndarray, rank: np.ndar
         right.append(text[near + step])
     big = np.flatnonzero(size > ALL_PAIRS)
     if len(big):
-        sort = big[np.lexsort((rank[big], bucket[big]))]
+        # other leaders in every bucket, so that bands don't repeat each other's pairs
+        sort = big[np.lexsort((mix(rank[big] ^ key[big]), bucket[big]))]
         first = np.ones(len(sort), dtype=bool)
         first[1:] = bucket[sort][1:] != bucket[sort][:-1]
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
