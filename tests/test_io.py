@@ -89,3 +89,18 @@ def test_malformed_value_becomes_null_under_explicit_schema(spark):
     assert by_key["AW2"].cst_id is None                    # the malformed id alone becomes null
     assert by_key["AW3"].cst_create_date is None           # so does the malformed date
     assert sorted(r.cst_key for r in silver_customers(raw).collect()) == ["AW1", "AW3"]
+
+
+def test_feed_columns_are_found_by_name_and_money_keeps_decimals(spark, tmp_path):
+    from tierforge.plans import tables as T
+    from tierforge.sources.schemas import SALES_FEED
+
+    path = tmp_path / "sales.csv"
+    path.write_text(
+        "extra,sls_price,SLS_ORD_NUM,sls_prd_key,sls_cust_id,sls_order_dt,sls_ship_dt,sls_due_dt,sls_sales,sls_quantity\n"
+        "x,12.5,SO1,p,7,20200101,20200102,20200103,30,2\n"
+        "y,12.75,SO2,p,7,20200101,20200102,20200103,25.5,2\n")
+    raw = read_feed(spark, str(path), SALES_FEED)
+    assert raw.columns == SALES_FEED.fieldNames()
+    got = {r.sls_ord_num: (r.sls_sales, r.fixed_price) for r in T.silver_sales(raw).collect()}
+    assert got == {"SO1": (25.0, 12.5), "SO2": (25.5, 12.75)}

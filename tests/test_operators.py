@@ -1,4 +1,4 @@
-"""Operator semantics and properties: versions, surrogate keys, lookups, skew helpers."""
+"""Operator semantics and properties: versions, surrogate keys, lookups."""
 
 import datetime as d
 import random
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from tierforge.operators import (
     current_only,
     end_date_versions,
-    fits,
-    hot_groups,
     keep_latest,
     lookup,
     surrogate_key,
@@ -78,15 +76,14 @@ def test_end_date_split_equals_window(spark):
     df = _versions(spark)
     w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first(), "id")
     expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
-    for hot_rows, split_rows, max_splits in [(1000, 250, 64), (2, 1, 3), (1, 1, 65_536), (1000, 10, 400)]:
-        got = end_date_versions(df, "k", "s", ["id"], "e", hot_rows=hot_rows, split_rows=split_rows,
-                                max_splits=max_splits)
-        assert _sorted(got.collect()) == _sorted(expected.collect()), (hot_rows, split_rows, max_splits)
+    for partitions in (1, 2, 7, 64, 400):
+        got = end_date_versions(df, "k", "s", ["id"], "e", partitions=partitions)
+        assert _sorted(got.collect()) == _sorted(expected.collect()), partitions
 
 
 def test_end_dated_intervals_do_not_overlap(spark):
     # a null start has no successor date, so the property is stated for dated versions
-    dated = end_date_versions(_versions(spark).where(F.col("s").isNotNull()), "k", "s", ["id"], "e", hot_rows=500)
+    dated = end_date_versions(_versions(spark).where(F.col("s").isNotNull()), "k", "s", ["id"], "e", partitions=5)
     bad = (dated.where(F.col("s").isNotNull() & F.col("e").isNotNull())
                 .where(F.col("e") < F.date_sub(F.col("s"), 1)))
     assert bad.count() == 0
@@ -114,7 +111,7 @@ def test_surrogate_key_ranged_plan_has_no_single_partition(spark):
     assert "SinglePartition" in glob._jdf.queryExecution().executedPlan().toString()
 
 
-def test_surrogate_key_auto_small_is_global(spark):
+def test_surrogate_key_auto_numbers_from_one(spark):
     df = spark.range(0, 10)
     assert [r.key for r in surrogate_key(df, "id", "key", method="auto").orderBy("id").collect()] == list(range(1, 11))
     assert [r.key for r in surrogate_key(df, "id", "key").orderBy("id").collect()] == list(range(1, 11))
@@ -125,7 +122,7 @@ def test_lookup_semantics(spark):
     right = spark.createDataFrame([("a", 10), ("b", 20), ("b", 21), (None, 99)], "k2 string, v int")
     got = lookup(left, right, ("k", "k2"), {"v": "val"}, normalize=F.trim)
     assert _sorted(got.select("id", "val").collect()) == _sorted([(1, 10), (2, 20), (2, 21), (3, None), (4, None)])
-    plain = lookup(left, right, ("k", "k2"), {"v": "val"}, broadcast_rows=10)
+    plain = lookup(left, right, ("k", "k2"), {"v": "val"})
     assert _sorted(plain.select("id", "val").collect()) == _sorted([(1, None), (2, 20), (2, 21), (3, None),
                                                                     (4, None)])
     assert plain.columns == ["id", "k", "val"]
@@ -136,19 +133,12 @@ def test_lookup_semantics(spark):
         pass
 
 
-def test_hot_groups_and_fits(spark):
-    df = spark.range(0, 1000).withColumn("k", F.when(F.col("id") < 400, F.lit(0)).otherwise(F.col("id")))
-    hot = hot_groups(df, ["k"], min_rows=100, limit=5).collect()
-    assert [(r["k"], r["__rows"]) for r in hot] == [(0, 400)]
-    assert fits(df, 1000) and not fits(df, 999)
-
-
 def test_operators_accept_empty_inputs(spark):
     empty = spark.createDataFrame([], "k int, s date, i int")
     assert keep_latest(empty, "k", "s").count() == 0
     assert keep_latest(empty, "k", "s", ties="first", tie_breaker="i").count() == 0
     assert end_date_versions(empty, "k", "s", ["i"], "e").columns == ["k", "s", "i", "e"]
-    assert end_date_versions(empty, "k", "s", ["i"], "e", hot_rows=1).count() == 0
+    assert end_date_versions(empty, "k", "s", ["i"], "e", partitions=3).count() == 0
     for method in ("global", "ranged", "auto"):
         keyed = surrogate_key(empty, ["k", "i"], "key", method=method)
         assert keyed.count() == 0 and keyed.columns == ["key", "k", "s", "i"]
@@ -167,7 +157,7 @@ def test_end_date_split_with_a_composite_key(spark):
     df = spark.createDataFrame(rows, "id int, a string, b int, s date")
     w = Window.partitionBy("a", "b").orderBy(F.col("s").asc_nulls_first(), "id")
     expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
-    got = end_date_versions(df, ["a", "b"], "s", ["id"], "e", hot_rows=100, split_rows=50)
+    got = end_date_versions(df, ["a", "b"], "s", ["id"], "e", partitions=40)
     assert _sorted(got.collect()) == _sorted(expected.collect())
     got = keep_latest(df, ["a", "b"], "s")
     wk = Window.partitionBy("a", "b").orderBy(F.col("s").desc())

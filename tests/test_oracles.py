@@ -9,8 +9,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
+from tierforge.plans import catalog  # noqa: E402
 
-NAMES = list(E.queries())
+NAMES = list(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.queries()) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -34,12 +34,12 @@ def test_keep_latest_is_dense_rank_one(spark, data):
 
 
 @SETTINGS
-@given(rows, st.integers(1, 5), st.integers(1, 8))
-def test_end_date_split_is_lead(spark, data, hot_rows, split_rows):
+@given(rows, st.integers(1, 9))
+def test_end_date_split_is_lead(spark, data, partitions):
     df = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(data)], "k int, s date, i int")
     w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first(), "i")
     expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
-    got = end_date_versions(df, "k", "s", ["i"], "e", hot_rows=hot_rows, split_rows=split_rows)
+    got = end_date_versions(df, "k", "s", ["i"], "e", partitions=partitions)
     assert _multiset(got) == _multiset(expected)
 
 

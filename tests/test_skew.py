@@ -77,3 +77,29 @@ def test_ranged_keys_split_a_hot_leading_value(spark):
     assert per_file.agg(F.max("count")).first()[0] < N / 3  # and no partition holds its whole group
     stats = keyed.agg(F.min("key"), F.max("key"), F.countDistinct("key")).first()
     assert tuple(stats) == (1, N, N)
+
+
+def test_end_dating_splits_a_hot_key_of_null_starts(spark):
+    from tierforge.operators import end_date_versions, ordered_table
+
+    with scale_conf(spark):
+        df = spark.range(0, N).select(
+            _hot("k"), F.when(F.col("id") % 3 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int")))
+                        .alias("s"), "id")
+        table = ordered_table(df, ["k", "s", "id"], 16)
+        sizes = [r["count"] for r in table.where("k = 0").groupBy("__p").count().collect()]
+        assert sum(sizes) >= N / 3 and len(sizes) > 3 and max(sizes) < N / 6
+        dated = end_date_versions(df, "k", "s", ["id"], "e", partitions=16)
+        w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first(), "id")
+        expected = df.withColumn("e", F.date_sub(F.lead("s").over(w), 1))
+        assert dated.exceptAll(expected).count() == 0 and dated.count() == N
+
+
+def test_chained_lookups_on_a_hot_key_are_both_split(spark):
+    with scale_conf(spark):
+        facts = spark.range(0, N).select(_hot("cust"), F.col("id").alias("line"))
+        one = spark.range(0, 50_000).select(F.col("id").alias("cid"), (F.col("id") * 10).alias("a"))
+        two = spark.range(0, 50_000).select(F.col("id").alias("cid"), (F.col("id") * 7).alias("b"))
+        joined = lookup(lookup(facts, one, ("cust", "cid"), {"a": "a"}), two, ("cust", "cid"), {"b": "b"})
+        assert len(joined.collect()) == N
+        assert joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("(skew=true)") == 2

@@ -19,11 +19,11 @@ def test_stream_equals_batch_and_resumes(spark, sf_dir):
     first, second = feed.where(F.col("CID") < "AW-00000100"), feed.where(F.col("CID") >= "AW-00000100")
     write_feed(first, layout.feed("erp_locations") + "/part=1")
     assert stream_silver(spark, layout, "silver_erp_locations") >= 1
-    assert _rows(read_table(spark, layout.table("silver_erp_locations"), "parquet")) == \
+    assert _rows(read_table(spark, layout.stream_table("silver_erp_locations"), "parquet")) == \
         _rows(T.silver_erp_locations(first))
     # a new file arrives: only it is processed; a run with nothing new adds nothing
     write_feed(second, layout.feed("erp_locations") + "/part=2")
     stream_silver(spark, layout, "silver_erp_locations")
     stream_silver(spark, layout, "silver_erp_locations")
-    out = read_table(spark, layout.table("silver_erp_locations"), "parquet")
+    out = read_table(spark, layout.stream_table("silver_erp_locations"), "parquet")
     assert _rows(out.select("cid", "cntry")) == _rows(T.silver_erp_locations(feed))

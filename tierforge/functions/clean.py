@@ -27,7 +27,6 @@ PRODUCT_LINE_LABELS = {"M": "Mountain", "R": "Road", "S": "Other Sales", "T": "T
 ERP_GENDER_LABELS = {"F": "Female", "FEMALE": "Female", "M": "Male", "MALE": "Male"}
 COUNTRY_LABELS = {"US": "United States", "USA": "United States", "DE": "Germany"}
 ERP_ID_PREFIX = "NAS"
-ERP_ID_MAX_LEN = 100
 PRODUCT_CATEGORY_LEN = 5
 PRODUCT_KEY_SEPARATOR_LEN = 1
 DATE_DIGITS = 8
@@ -139,10 +138,14 @@ def reconcile_amount(sales: ColumnOrName, quantity: ColumnOrName, price: ColumnO
     return F.when(s.isNull() | (s <= 0) | (s != expected), expected).otherwise(s).cast("double")
 
 
-def strip_prefix(c: ColumnOrName, prefix: str = ERP_ID_PREFIX, max_len: int = ERP_ID_MAX_LEN) -> Column:
-    """Drop a leading case-sensitive ``prefix`` (rest capped at ``max_len``)."""
+def strip_prefix(c: ColumnOrName, prefix: str = ERP_ID_PREFIX, max_len: int | None = None) -> Column:
+    """Drop a leading case-sensitive ``prefix``; the whole rest stays.
+
+    ``max_len`` cuts the rest of a stripped id (the source system cuts at 100).
+    """
     v = _col(c)
-    return F.when(v.startswith(prefix), F.substring(v, len(prefix) + 1, max_len)).otherwise(v)
+    rest = F.right(v, F.length(v) - len(prefix)) if max_len is None else F.substring(v, len(prefix) + 1, max_len)
+    return F.when(v.startswith(prefix), rest).otherwise(v)
 
 
 def null_after(c: ColumnOrName, as_of: ColumnOrName | None = None) -> Column:

@@ -1,25 +1,8 @@
 """Surrogate keys (W3, W4): ``row_number`` over a global order, without one task.
 
 ``Window.orderBy(...)`` with no partition moves every row into a single
-partition. ``method="ranged"`` gives the same numbers (up to the order of
-rows that tie on every order column) with the work spread over many tasks:
-
-1. range-partition the rows on the order columns (Spark's range partitioner:
-   sampled bounds, binary search per row; AQE sizes the partitions) and sort
-   within partitions;
-2. in the same job, tag every row with its range partition and its position
-   inside that sorted partition, and write the tagged rows as a table in the
-   session's shared checkpoint folder. This cuts the lineage and fixes the
-   tags: recomputing a range exchange later could draw different bounds, a
-   written table cannot change (task commits are atomic, so a retried task
-   rewrites its whole partition);
-3. count rows per partition from the table (one number per partition reaches
-   the driver) and turn the counts into offsets;
-4. key = partition offset + position, a narrow projection over the table.
-
-Tuples that tie on every order column land in one partition, as in the
-global window; any other hot value of a leading column is split by the
-following order columns.
+partition. The default numbers the rows of an ordered table instead (see
+``ranged``): key = rows in the partitions before + place in the own one.
 """
 
 from __future__ import annotations
@@ -27,82 +10,28 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
-
-from tierforge.session import scratch_path
-
-# "auto" keeps the single-task window only below this proven row count; an
-# explicit rows_per_bucket sizes the range partitions from a row count, capped.
-GLOBAL_MAX_ROWS = 1_000_000
-MAX_BUCKETS = 8192
-# monotonically_increasing_id puts the partition index above bit 33.
-_PARTITION_SHIFT = 33
-
 
-def _order(cols: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in cols]
+from tierforge.operators.ranged import offsets, ordered_table, ordering
 
 
 def surrogate_key(df: DataFrame, order: str | Sequence[str], name: str, method: str = "ranged",
-                  rows_per_bucket: int | None = None, max_buckets: int = MAX_BUCKETS,
-                  global_max_rows: int = GLOBAL_MAX_ROWS) -> DataFrame:
+                  rows_per_bucket: int | None = None) -> DataFrame:
     """Prepend ``name`` = 1..n (bigint) following ``order`` ascending, nulls first.
 
-    ``method``:
-
-    * ``"ranged"`` (default): always distributed. Without ``rows_per_bucket``
-      the range exchange uses the session's shuffle width and AQE coalesces
-      it to the measured data size, so no row count is needed;
-    * ``"auto"``: counts the rows and uses the global window when there are
-      at most ``global_max_rows``, ranged otherwise;
-    * ``"global"``: one window in one task, for inputs of known small size.
+    ``method``: ``"ranged"`` (default) and ``"auto"`` are distributed at every
+    size; ``"global"`` is one window in one task, for inputs known to be small.
+    ``rows_per_bucket`` asks for so many rows per range partition (this counts
+    the rows first); without it adaptive execution sizes the partitions.
     """
     cols = [order] if isinstance(order, str) else list(order)
     if method not in ("auto", "global", "ranged"):
         raise ValueError(f"unknown surrogate key method {method!r}")
     if method == "global":
-        return _global(df, cols, name)
-    rows = df.count() if (method == "auto" or rows_per_bucket is not None) else None
-    if method == "auto" and rows <= global_max_rows:
-        return _global(df, cols, name)   # proven: at most global_max_rows rows
-    buckets = None
-    if rows_per_bucket is not None:
-        buckets = max(1, min(max_buckets, math.ceil(rows / rows_per_bucket)))
-    return _ranged(df, cols, name, buckets)
-
-
-def _ranged(df: DataFrame, cols: Sequence[str], name: str, buckets: int | None) -> DataFrame:
-    spark = df.sparkSession
-    pid = F.spark_partition_id()
-    # The range exchange reads its input twice (bound sampling, then the
-    # shuffle); keep it for the duration of the write so upstream joins run
-    # once. A lost cache block is recomputed; the keys depend only on the table.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ranged = (source.repartitionByRange(buckets, *_order(cols)) if buckets
-                  else source.repartitionByRange(*_order(cols)))
-        tagged = (ranged.sortWithinPartitions(*_order(cols))
-                        .select("*", pid.alias("__p"),
-                                (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _PARTITION_SHIFT))
-                                .alias("__pos")))
-        path = scratch_path(spark, "surrogate-key")
-        tagged.write.parquet(path)
-    finally:
-        source.unpersist()
-    table = spark.read.parquet(path)
-    counts = dict(table.groupBy("__p").count().collect())     # one row per partition
-    offsets, running = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    if not offsets:
-        return table.select(F.lit(None).cast("long").alias(name), *df.columns)
-    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__p") + 1)
-    return table.select((base + F.col("__pos") + 1).alias(name), *df.columns)
-
-
-def _global(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
-    w = Window.orderBy(*_order(cols))
-    return df.select(F.row_number().over(w).cast("long").alias(name), *df.columns)
+        w = Window.orderBy(*ordering(cols))
+        return df.select(F.row_number().over(w).cast("long").alias(name), *df.columns)
+    parts = max(1, math.ceil(df.count() / rows_per_bucket)) if rows_per_bucket is not None else None
+    table = ordered_table(df, cols, parts)
+    return table.join(F.broadcast(offsets(table)), "__p").select(
+        (F.col("__base") + F.col("__pos") + 1).alias(name), *df.columns)

@@ -5,9 +5,9 @@ side. Semantics follow the source: null keys never match, an unmatched left
 row keeps null attributes, and a duplicated right key multiplies left rows.
 
 Strategy: left to Catalyst + AQE (sort-merge, or broadcast once the right
-side's runtime size is known to be small; skewed left partitions are split by
-AQE's skew-join handling). ``broadcast_rows`` forces a broadcast only after
-checking that the right side has at most that many rows.
+side's measured size is small; skewed left partitions are split by AQE's
+skew-join handling, also in chained lookups on one key, for which the session
+profiles set ``spark.sql.adaptive.forceOptimizeSkewedJoin``).
 """
 
 from __future__ import annotations
@@ -17,14 +17,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.operators.skew import bounded_broadcast
-
 KeyPairs = tuple[str, str] | Sequence[tuple[str, str]]
 
 
 def lookup(left: DataFrame, right: DataFrame, on: KeyPairs, take: Mapping[str, str],
-           how: str = "left", normalize: Callable[[Column], Column] | None = None,
-           broadcast_rows: int | None = None) -> DataFrame:
+           how: str = "left", normalize: Callable[[Column], Column] | None = None) -> DataFrame:
     """``left`` joined to ``right`` on ``on`` = (left_col, right_col) pair(s).
 
     ``take`` maps right-side columns to their output names. ``normalize``
@@ -41,7 +38,6 @@ def lookup(left: DataFrame, right: DataFrame, on: KeyPairs, take: Mapping[str, s
     lhs = left.select("*", *[norm(F.col(lc)).alias(k) for (lc, _), k in zip(pairs, lkeys)]) if normalize else left
     rhs = right.select(*[norm(F.col(rc)).alias(k) for (_, rc), k in zip(pairs, rkeys)],
                        *[F.col(c).alias(out) for c, out in take.items()])
-    rhs = bounded_broadcast(rhs, broadcast_rows)
     left_names = lkeys if normalize else [lc for lc, _ in pairs]
     cond = None
     for lk, rk in zip(left_names, rkeys):

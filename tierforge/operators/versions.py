@@ -6,29 +6,18 @@ of all rows never has to be sorted by a single task:
 * ``keep_latest`` pre-aggregates ``max(order)`` per key (map-side partial
   aggregation) and joins it back on ``(key, order)``: the join hashes on the
   order value too, and AQE splits whatever skew remains.
-* ``end_date_versions`` runs a plain ``lead`` window for ordinary keys; keys
-  above a row threshold are cut into equal-width date sub-ranges (as many as
-  their size needs) and the last row of each sub-range borrows the first start
-  of the next one.
+* ``end_date_versions`` orders all rows by (key, start) over range partitions
+  and looks at the next row, across partition borders too.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tierforge.operators.skew import HOT_GROUP_ROWS, MAX_HOT_GROUPS, hot_groups
-
-# A hot key is cut into one sub-range per SPLIT_ROWS versions, at most
-# MAX_SPLITS of them; the bridge table between sub-ranges is broadcast while it
-# has at most MAX_BRIDGE_BROADCAST rows (its size is known before the job runs).
-SPLIT_ROWS = 1_000_000
-MAX_SPLITS = 65_536
-MAX_BRIDGE_BROADCAST = 1_000_000
+from tierforge.operators.ranged import next_rows, ordered_table
 
 
 def _as_list(v: str | Sequence[str]) -> list[str]:
@@ -73,86 +62,25 @@ def keep_latest(df: DataFrame, keys: str | Sequence[str], order: str, ties: str
     return picked.select("__row.*")
 
 
-def _ordering(start: str, tie_breaker: Sequence[str]) -> list[Column]:
-    return [F.col(start).asc_nulls_first()] + [F.col(t).asc_nulls_first() for t in tie_breaker]
-
-
 def end_date_versions(df: DataFrame, key: str | Sequence[str], start: str,
                       tie_breaker: Sequence[str] = (), name: str = "end_date",
-                      hot_rows: int = HOT_GROUP_ROWS, max_hot_keys: int = MAX_HOT_GROUPS,
-                      split_rows: int = SPLIT_ROWS, max_splits: int = MAX_SPLITS) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """W2 + X11: ``name`` = next version's ``start`` (per ``key``) minus one day.
 
     Versions are ordered by ``start`` (nulls first) then ``tie_breaker``; the
     last version of a key gets null. ``start`` must be a date or timestamp; the
-    result is a date.
-
-    Keys with at least ``hot_rows`` versions (at most ``max_hot_keys`` of
-    them, largest first) are cut into ``ceil(rows / split_rows)`` (at most
-    ``max_splits``) equal-width ranges of their start dates; the window runs
-    per (key, range) and the last row of a range takes the first start of the
-    next non-empty range. The finest cut is one day, so a single (key, day)
-    stays in one task.
+    result is a date. Rows are ordered by (key, start, tie-breakers) over all
+    tasks, so a key of any size is split by its starts and tie-breakers.
+    ``partitions`` forces a number of range partitions (tests).
     """
     keys = _as_list(key)
-    order = _ordering(start, tie_breaker)
-    found = hot_groups(df, keys, hot_rows, max_hot_keys).collect()      # <= max_hot_keys rows
-    if not found:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.date_sub(F.lead(start).over(w), 1))
-    return _end_date_split(df, keys, start, order, name, found, split_rows, max_splits)
-
-
-def _null_safe(keys: list[str], prefix: str) -> Column:
-    cond = None
+    table = ordered_table(df, [*keys, start, *tie_breaker], partitions)
+    value = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(start).alias("v"))
+    followed = next_rows(table, value, "__next")
+    same = F.col("__next").isNotNull()
     for i, k in enumerate(keys):
-        c = F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _end_date_split(df: DataFrame, keys: list[str], start: str, order: list[Column], name: str,
-                    found: list, split_rows: int, max_splits: int) -> DataFrame:
-    """Split path of ``end_date_versions`` for the hot keys in ``found``."""
-    spark = df.sparkSession
-    splits = [min(max_splits, max(1, math.ceil(r["__rows"] / split_rows))) for r in found]
-    key_fields = [df.schema[k] for k in keys]
-    hot_schema = StructType([StructField(f"__h{i}", f.dataType, True) for i, f in enumerate(key_fields)]
-                            + [StructField("__splits", IntegerType(), False)])
-    hot = spark.createDataFrame([tuple(r[k] for k in keys) + (n,) for r, n in zip(found, splits)], hot_schema)
-    # Date range of every hot key: one row per hot key, a bounded broadcast.
-    ranges = (df.join(F.broadcast(hot), _null_safe(keys, "__h"), "inner")
-                .groupBy(*keys, "__splits")
-                .agg(F.to_date(F.min(start)).alias("__lo"), F.to_date(F.max(start)).alias("__hi")))
-    ranges = ranges.select(
-        *[F.col(k).alias(f"__r{i}") for i, k in enumerate(keys)], "__lo",
-        F.greatest(F.lit(1), F.ceil((F.datediff("__hi", "__lo") + 1) / F.col("__splits"))).cast("int")
-         .alias("__width"))
-    # Sub-range of a row: 0 for ordinary keys and null starts (they sort first),
-    # else 1 + whole widths since the key's first start. Monotone in the order.
-    bucket = (F.when(F.col("__lo").isNull() | F.col(start).isNull(), F.lit(0))
-               .otherwise(F.lit(1) + F.floor(F.datediff(F.col(start), F.col("__lo")) / F.col("__width")).cast("int")))
-    tagged = (df.join(F.broadcast(ranges), _null_safe(keys, "__r"), "left")
-                .withColumn("__b", bucket)
-                .drop(*[f"__r{i}" for i in range(len(keys))], "__width"))
-    # First start of every non-empty sub-range of a hot key, and the first
-    # start of the sub-range after it: the "next version" of a sub-range's last row.
-    firsts = (tagged.where(F.col("__lo").isNotNull())
-                    .groupBy(*keys, "__b").agg(F.min(start).alias("__first")))
-    bridge = (firsts.withColumn("__bridge", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__b")))
-                    .select(*[F.col(k).alias(f"__f{i}") for i, k in enumerate(keys)],
-                            F.col("__b").alias("__fb"), "__bridge"))
-    # at most one bridge row per (hot key, sub-range): known before running
-    if sum(splits) + len(splits) <= MAX_BRIDGE_BROADCAST:
-        bridge = F.broadcast(bridge)
-    w = Window.partitionBy(*keys, "__b").orderBy(*order)
-    # lead of a struct: distinguishes "no next row" from "next start is null".
-    windowed = tagged.withColumn("__next", F.lead(F.struct(F.col(start).alias("v"))).over(w))
-    bcond = (F.col("__b") == F.col("__fb")) & _null_safe(keys, "__f")
-    return (windowed.join(bridge, bcond, "left")
-                    .withColumn(name, F.date_sub(F.when(F.col("__next").isNull(), F.col("__bridge"))
-                                                   .otherwise(F.col("__next.v")), 1))
-                    .select(*df.columns, name))
+        same = same & F.col(k).eqNullSafe(F.col(f"__next.k{i}"))
+    return followed.select(*df.columns, F.when(same, F.date_sub(F.col("__next.v"), 1)).alias(name))
 
 
 def current_only(df: DataFrame, end_col: str) -> DataFrame:

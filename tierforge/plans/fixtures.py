@@ -26,8 +26,9 @@ def _case(value: Column, cases: dict, default) -> Column:
     return out.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
-def _padded_key(c: Column, prefix: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), 8, "0"))
+def _padded_key(c: Column, prefix: str | Column) -> Column:
+    lead = prefix if isinstance(prefix, Column) else F.lit(prefix)
+    return F.concat(lead, F.lpad(c.cast("string"), 8, "0"))
 
 
 def _ymd(ts: Column) -> Column:
@@ -81,7 +82,7 @@ def raw_sales(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFr
         (F.col("o_custkey") - 3).alias("sls_cust_id"),
         _case(ok % 7, {0: 0, 1: 32154, 2: 20101345}, ymd).alias("sls_order_dt"),
         F.when(ok % 13 == 0, F.lit(None)).otherwise(ymd).alias("sls_ship_dt"),
-        F.lit(-1).cast("int").alias("sls_due_dt"),
+        F.when(ok % 11 == 0, F.lit(-1)).otherwise(ymd).cast("int").alias("sls_due_dt"),
         _case((ok + F.col("l_linenumber")) % 6, {0: None, 1: -40, 2: 0, 3: 17}, qty * 5)
          .cast("int").alias("sls_sales"),
         _case((ok + pk) % 9, {0: 0, 1: None}, qty).cast("int").alias("sls_quantity"),
@@ -91,10 +92,10 @@ def raw_sales(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFr
 
 def raw_erp_customers(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
-    # Dirt, not sampling: the ERP system lacks every 19th customer, so the
-    # customer lookups have misses (FIXTURES.md). All other rows are kept.
-    return customer.where(c % 19 != 0).select(
-        F.concat(F.when(c % 3 == 0, F.lit("NAS")).otherwise(F.lit("")), _padded_key(c, "AW")).alias("CID"),
+    # Every 19th customer has an id that matches none, so the lookups have misses.
+    lead = F.when(c % 19 == 0, F.lit("XW")).otherwise(F.lit("AW"))
+    return customer.select(
+        F.concat(F.when(c % 3 == 0, F.lit("NAS")).otherwise(F.lit("")), _padded_key(c, lead)).alias("CID"),
         F.when(c % 10 == 0, F.lit("2999-01-01").cast("date"))
          .when(c % 17 == 0, F.lit(None).cast("date"))
          .otherwise(F.date_add(F.lit("1950-01-01").cast("date"), (c % 9000).cast("int"))).alias("BDATE"),
@@ -104,19 +105,21 @@ def raw_erp_customers(customer: DataFrame) -> DataFrame:
 
 def raw_erp_locations(customer: DataFrame, nation: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
-    # Dirt, not sampling: every 23rd customer has no location record.
-    joined = customer.where(c % 23 != 0).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    # The location of every 23rd customer has an id that matches none.
+    lead = F.when(c % 23 == 0, F.lit("XW-")).otherwise(F.lit("AW-"))
+    joined = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.select(
-        F.concat(_padded_key(c, "AW-"), F.lit(" ")).alias("CID"),
+        F.concat(_padded_key(c, lead), F.lit(" ")).alias("CID"),
         _case(c % 9, {0: "us", 1: NBSP + "USA ", 2: "DE", 3: None, 4: "  ", 5: "de "},
               F.concat(F.lit(" "), F.col("n_name"), F.lit(NBSP))).alias("CNTRY"),
     )
 
 
 def raw_categories(part: DataFrame) -> DataFrame:
-    # Dirt: one product type has no category row, so the category lookup misses.
-    return part.where(F.col("p_type") != "SMALL").select(
-        _product_key("_").alias("ID"),
+    # One product type's category has an id that matches none, so the lookup misses.
+    lead = F.when(F.col("p_type") == "SMALL", F.lit("X")).otherwise(F.lit(""))
+    return part.select(
+        F.concat(lead, _product_key("_")).alias("ID"),
         F.col("p_type").alias("CAT"),
         F.substring("p_name", 1, 2).alias("SUBCAT"),
         F.when(F.col("p_type") == "PROMO", F.lit("No")).otherwise(F.lit("Yes")).alias("MAINTENANCE"),

@@ -31,29 +31,29 @@ RAW_SALES = """raw_sales as (select concat('SO', cast(l_orderkey as varchar)) as
  cast(case l_orderkey % 7 when 0 then 0 when 1 then 32154 when 2 then 20101345
   else year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) end as int) as sls_order_dt,
  cast(case l_orderkey % 13 when 0 then null else year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) end as int) as sls_ship_dt,
- cast(-1 as int) as sls_due_dt,
+ cast(case when l_orderkey % 11 = 0 then -1 else year(l_shipdate)*10000+month(l_shipdate)*100+day(l_shipdate) end as int) as sls_due_dt,
  cast(case (l_orderkey + l_linenumber) % 6 when 0 then null when 1 then -40 when 2 then 0 when 3 then 17
   else cast(l_quantity as int)*5 end as int) as sls_sales,
  cast(case (l_orderkey + l_partkey) % 9 when 0 then 0 when 1 then null else cast(l_quantity as int) end as int) as sls_quantity,
  cast(case l_partkey % 5 when 0 then null when 1 then -5 when 2 then 0 else 5 end as int) as sls_price
  from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey)"""
 
-RAW_ERP_CUST = """raw_erp_cust as (select concat(case when c_custkey % 3 = 0 then 'NAS' else '' end, 'AW',
+RAW_ERP_CUST = """raw_erp_cust as (select concat(case when c_custkey % 3 = 0 then 'NAS' else '' end, case when c_custkey % 19 = 0 then 'XW' else 'AW' end,
   lpad(cast(c_custkey as varchar), 8, '0')) as CID,
  case when c_custkey % 10 = 0 then date '2999-01-01' when c_custkey % 17 = 0 then null
   else (date '1950-01-01' + cast(c_custkey % 9000 as int)) end as BDATE,
  case c_custkey % 8 when 0 then 'F' when 1 then ' female ' when 2 then concat('M', chr(160)) when 3 then 'Male'
   when 4 then null when 5 then chr(160) when 6 then '' else 'x' end as gen
- from customer where c_custkey % 19 <> 0)"""
+ from customer)"""
 
-RAW_ERP_LOC = """raw_erp_loc as (select concat('AW-', lpad(cast(c_custkey as varchar), 8, '0'), ' ') as CID,
+RAW_ERP_LOC = """raw_erp_loc as (select concat(case when c_custkey % 23 = 0 then 'XW-' else 'AW-' end, lpad(cast(c_custkey as varchar), 8, '0'), ' ') as CID,
  case c_custkey % 9 when 0 then 'us' when 1 then concat(chr(160),'USA ') when 2 then 'DE' when 3 then null
   when 4 then '  ' when 5 then 'de ' else concat(' ', n_name, chr(160)) end as CNTRY
- from customer join nation on c_nationkey = n_nationkey where c_custkey % 23 <> 0)"""
+ from customer join nation on c_nationkey = n_nationkey)"""
 
-RAW_CAT = """raw_cat as (select distinct concat(upper(substring(p_type,1,2)), '_', upper(substring(p_name,1,2))) as ID,
+RAW_CAT = """raw_cat as (select distinct concat(case when p_type = 'SMALL' then 'X' else '' end, upper(substring(p_type,1,2)), '_', upper(substring(p_name,1,2))) as ID,
  p_type as CAT, substring(p_name,1,2) as SUBCAT, case when p_type='PROMO' then 'No' else 'Yes' end as MAINTENANCE
- from part where p_type <> 'SMALL')"""
+ from part)"""
 
 
 def _ymd(c: str) -> str:
@@ -82,7 +82,7 @@ CLEAN_CNTRY = "trim(replace(CNTRY, chr(160), ''), ' ')"
 COUNTRY = (f"case when {CLEAN_CNTRY} is null or {CLEAN_CNTRY} = '' then 'n/a' "
            f"when upper({CLEAN_CNTRY}) in ('US', 'USA') then 'United States' "
            f"when upper({CLEAN_CNTRY}) = 'DE' then 'Germany' else {CLEAN_CNTRY} end")
-STRIP_NAS = "case when starts_with(CID, 'NAS') then substring(CID, 4, 100) else CID end"
+STRIP_NAS = "case when starts_with(CID, 'NAS') then substring(CID, 4) else CID end"
 
 SILVER_CUST = f"""silver_cust as (select cst_id, cst_key, trim(cst_firstname, ' ') as cst_firstname,
  trim(cst_lastname, ' ') as cst_lastname, {MARITAL} as cst_marital_status, {CRM_GENDER} as cst_gndr, cst_create_date

@@ -14,9 +14,6 @@ from tierforge.operators.keys import surrogate_key
 from tierforge.operators.star import lookup
 from tierforge.operators.versions import current_only, end_date_versions, keep_latest
 
-# Lookup tables at most this many rows are broadcast after a row-count check.
-SMALL_LOOKUP_ROWS = 100_000
-
 
 def silver_customers(raw: DataFrame) -> DataFrame:
     """Positive ids, latest record per id (ties kept), trimmed names, decoded codes."""
@@ -90,7 +87,8 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
 
     Both lookups join on the untrimmed CRM key, so Spark shuffles the customers
     once and reuses that partitioning for the second join. Gender prefers the
-    CRM value unless it is ``N/a``. Keys follow (customer id, last name).
+    CRM value unless it is ``N/a``. Keys follow (customer id, last name),
+    then the remaining columns, so that ties don't depend on the run.
     """
     j = lookup(customers, erp_customers, ("cst_key", "cid"), {"gen": "erp_gen", "bdate": "erp_bdate"})
     j = lookup(j, erp_locations, ("cst_key", "cid"), {"cntry": "erp_cntry"})
@@ -105,7 +103,8 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
         F.col("erp_bdate").alias("birthdate"),
         F.col("cst_create_date").alias("create_date"),
     )
-    return surrogate_key(rows, ["customer_id", "last_name"], "customer_key", method=key_method)
+    order = ["customer_id", "last_name", *[c for c in rows.columns if c not in ("customer_id", "last_name")]]
+    return surrogate_key(rows, order, "customer_key", method=key_method)
 
 
 def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "ranged") -> DataFrame:
@@ -115,8 +114,7 @@ def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "
     """
     current = current_only(versions, "prd_end_days")
     j = lookup(current, categories, ("cat_id", "id"),
-               {"cat": "category", "subcat": "sub_category", "maintenance": "maintenance"},
-               broadcast_rows=SMALL_LOOKUP_ROWS)
+               {"cat": "category", "subcat": "sub_category", "maintenance": "maintenance"})
     rows = j.select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),
@@ -138,13 +136,12 @@ def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> D
 
     The customer lookup (a shuffle join once the dimension is large) runs
     first, on the un-multiplied sales lines; the product lookup, where the
-    fan-out happens, runs last and is broadcast when the product dimension
-    passes a row-count check. Both are left joins on independent keys, so the
+    fan-out happens, runs last. Both are left joins on independent keys, so the
     order does not change the result.
     """
     j = lookup(sales, customers, ("sls_cust_id", "customer_id"), {"customer_key": "customer_key"})
     j = lookup(j, products, ("sls_prd_key", "product_number"), {"product_key": "product_key"},
-               normalize=C.trim_spaces, broadcast_rows=SMALL_LOOKUP_ROWS)
+               normalize=C.trim_spaces)
     return j.select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key", "customer_key",

@@ -24,6 +24,7 @@ LOCAL_DEFAULTS = {
     # partitions keep every local core busy; the cluster profile uses 256 MB.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(4 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",     # split chained lookups on one hot key too
 }
 
 
@@ -39,6 +40,7 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
@@ -73,12 +75,14 @@ def build_session(master: str | None = None, app: str = "tierforge", shuffle_par
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; one under /tmp only if none is set."""
+    """The session's shared checkpoint folder; a temporary one only for a local master without any."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="tierforge-ckpt-")
     sc.setCheckpointDir(configured)

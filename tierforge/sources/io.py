@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Layer folders and table names of the warehouse layout.
 BRONZE, SILVER, GOLD, AUDIT_DIR = "bronze", "silver", "gold", "audit"
@@ -57,6 +57,10 @@ class Layout:
             return os.path.join(self.root, GOLD, name)
         return os.path.join(self.root, "tables", name)      # tables of user-defined tasks
 
+    def stream_table(self, name: str) -> str:
+        """Incremental loads keep tables of their own: a file sink's log and batch overwrites don't mix."""
+        return os.path.join(self.root, "stream", name)
+
     def audit(self) -> str:
         return os.path.join(self.root, AUDIT_DIR, AUDIT_TABLE)
 
@@ -67,15 +71,27 @@ def table_format(spark: SparkSession) -> str:
     return "delta" if "delta" in ext.lower() else "parquet"
 
 
+def file_schema(spark: SparkSession, path: str, declared: StructType) -> StructType:
+    """The header's columns in file order: declared types by (case-insensitive) name, others as strings.
+
+    Reads one header line. A declared column that the header lacks is an error.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    types = {f.name.lower(): f for f in declared.fields}
+    missing = sorted(set(types) - {h.lower() for h in header})
+    if missing:
+        raise ValueError(f"feed {path} lacks the columns {missing}; its header has {header}")
+    return StructType([types.get(h.lower(), StructField(h, StringType(), True)) for h in header])
+
+
 def read_feed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Headed CSV. With ``schema``: no inference pass, and the header must
-    name the schema's columns (``enforceSchema=false``). Without: inferred types."""
+    """Headed CSV. With ``schema``: no inference pass; columns are found by header
+    name in any order and extra ones are dropped. Without: inferred types."""
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    found = reader.schema(file_schema(spark, path, schema)).option("enforceSchema", False).csv(path)
+    return found.select(*schema.fieldNames())
 
 
 def write_feed(df: DataFrame, path: str) -> None:

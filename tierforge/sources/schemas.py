@@ -33,10 +33,10 @@ PRODUCTS_FEED = _schema(
 )
 
 SALES_FEED = _schema(
-    ("sls_ord_num", StringType()), ("sls_line", IntegerType()), ("sls_prd_key", StringType()),
+    ("sls_ord_num", StringType()), ("sls_prd_key", StringType()),
     ("sls_cust_id", LongType()), ("sls_order_dt", IntegerType()), ("sls_ship_dt", IntegerType()),
-    ("sls_due_dt", IntegerType()), ("sls_sales", IntegerType()), ("sls_quantity", IntegerType()),
-    ("sls_price", IntegerType()),
+    ("sls_due_dt", IntegerType()), ("sls_sales", DoubleType()), ("sls_quantity", IntegerType()),
+    ("sls_price", DoubleType()),
 )
 
 ERP_CUSTOMERS_FEED = _schema(("CID", StringType()), ("BDATE", DateType()), ("gen", StringType()))

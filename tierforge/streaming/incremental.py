@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tierforge.plans import tables as T
-from tierforge.sources.io import Layout
+from tierforge.sources.io import Layout, file_schema
 from tierforge.sources.schemas import FEEDS
 
 
@@ -41,20 +41,22 @@ def checkpoint_location(layout: Layout, table: str) -> str:
 
 def stream_silver(spark: SparkSession, layout: Layout, table: str, as_of: str | None = None,
                   files_per_batch: int = 1) -> int:
-    """Append newly arrived feed rows of ``table`` to its silver table.
+    """Append newly arrived feed rows of ``table`` to its stream table (``Layout.stream_table``).
 
     Returns the number of micro-batches run. Output rows equal the batch build
     over the same files.
     """
     feed, build = row_wise_builds(as_of)[table]
-    source = (spark.readStream.schema(FEEDS[feed])
+    path = layout.feed(feed)
+    source = (spark.readStream.schema(file_schema(spark, path, FEEDS[feed]))
                    .option("header", True).option("enforceSchema", False)
                    .option("maxFilesPerTrigger", files_per_batch)
-                   .csv(layout.feed(feed)))
+                   .csv(path)
+                   .select(*FEEDS[feed].fieldNames()))
     query = (build(source).writeStream
                   .format("parquet")
                   .outputMode("append")
-                  .option("path", layout.table(table))
+                  .option("path", layout.stream_table(table))
                   .option("checkpointLocation", checkpoint_location(layout, table))
                   .trigger(availableNow=True)
                   .start())
