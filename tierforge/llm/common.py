@@ -128,3 +128,15 @@ def without(docs: DataFrame, decisions: DataFrame, max_rows: int = 2_000_000) ->
     dropped = written(decisions.where(~F.col("kept")).select("__k1", "__k2").distinct(), "dropped")
     columns = [c for c in docs.columns if c not in ("__k1", "__k2")]
     return docs.join(bounded_broadcast(dropped, max_rows), ["__k1", "__k2"], "left_anti").select(*columns)
+
+
+def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """At most ``size`` rows, those with the least hash of ``key``.
+
+    Rows are first thinned by their hash to some times ``size``, so what meets
+    in one task does not grow with the input.
+    """
+    h = F.xxhash64(F.lit("sample"), F.col(key))
+    share = min(1.0, 8.0 * size / max(1, rows.count()))
+    bound = int(share * (1 << 30))
+    return rows.withColumn("__h", h).where(F.pmod("__h", F.lit(1 << 30)) < bound).orderBy("__h").limit(size).drop("__h")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import keyed, let, ship, spread_join, written
+from tierforge.llm.common import keyed, let, sampled, ship, spread_join, written
 from tierforge.llm.tokens import slices
 
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
@@ -64,10 +64,9 @@ def fit_characters(docs: DataFrame, text: str, label: str, sample_docs: int = SA
                    sample_chars: int = SAMPLE_CHARS) -> tuple[list[str], np.ndarray]:
     """Languages, and the log-probability of each trigram bucket under each (BUCKETS x languages)."""
     ship(docs.sparkSession)
-    sample = (docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-                  .select(F.col(label).cast("string").alias("label"),
-                          F.substring(F.col(text), 1, sample_chars).alias("text"))
-                  .withColumn("h", F.xxhash64("label", "text")).orderBy("h").limit(sample_docs))
+    labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    sample = sampled(labelled.select(F.col(label).cast("string").alias("label"), F.xxhash64(label, text).alias("key"),
+                                     F.substring(F.col(text), 1, sample_chars).alias("text")), "key", sample_docs)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
