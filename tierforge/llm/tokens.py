@@ -9,7 +9,7 @@ change the tokens on the other. If an overlap holds no such boundary, the
 left chunk is extended and the overlap doubled, in the end to the whole rest.
 
 A document that is encoded at once is cut at the same stable places, and each
-distinct piece is encoded once per worker (a bounded cache).
+distinct piece is encoded once per worker (a bounded cache of two generations).
 
 Defined cases: a null or empty text has no tokens and no bytes; repeated rows
 give repeated results; other columns may be null or bear any name; an empty
@@ -32,14 +32,14 @@ from tierforge.llm.common import ship
 
 CHUNK, OVERLAP = 32_768, 512      # characters
 LIMIT = 1024                      # tokens; more are over the limit
-CACHE_PIECES = 500_000            # distinct pieces a worker remembers before it starts anew
+CACHE_PIECES = 600_000            # distinct pieces of one generation; a worker remembers two
 SLICE_BYTES = 4 << 20             # text that is worked on at once
 
 # Begins a piece whatever stands around it (white space here includes all that the tokenizers call so).
 _STABLE = re.compile(r"(?<=\S)(?= \S)")
 
 _TOKENIZERS: dict[str, object] = {}
-_CACHES: dict[tuple[str, str], dict[str, object]] = {}
+_CACHES: dict[tuple[str, str], tuple[dict[str, object], dict[str, object]]] = {}
 
 
 def tokenizer(path: str):
@@ -61,19 +61,24 @@ def cut(text: str) -> list[str]:
 
 
 def encoded(path: str, name: str, texts: Iterable[list[str]], value: Callable[[list[int]], object]) -> dict[str, object]:
-    """A table with ``value(ids)`` of every piece in ``texts`` (lists of pieces)."""
-    cache = _CACHES.setdefault((path, name), {})
+    """A table with ``value(ids)`` of every piece in ``texts`` (lists of pieces).
+
+    A full generation becomes the old one; pieces still in use move on from it.
+    """
+    young, old = _CACHES.get((path, name), ({}, {}))
     wanted = set().union(*texts)
-    fresh = wanted.difference(cache)
-    if len(cache) + len(fresh) > CACHE_PIECES:
-        cache.clear()
-        fresh = wanted
-    todo = list(fresh)
+    fresh = wanted.difference(young)
+    if len(young) + len(fresh) > CACHE_PIECES:
+        young, old, fresh = {}, young, wanted
+    _CACHES[(path, name)] = (young, old)
+    known = fresh.intersection(old)
+    young.update((piece, old[piece]) for piece in known)
+    todo = list(fresh.difference(known))
     for i in range(0, len(todo), 4096):
         part = todo[i:i + 4096]
         for piece, e in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
-            cache[piece] = value(e.ids)
-    return cache
+            young[piece] = value(e.ids)
+    return young
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
