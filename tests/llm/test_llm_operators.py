@@ -233,6 +233,39 @@ def test_near_classes(request, which):
     assert got(prob_minhash.near_classes(df), "class_id") == _classes(pairs(df))
 
 
+def _loose_group(size, seed):
+    """Texts of one template with a few words changed in each: similarities scatter around the threshold."""
+    rng = np.random.default_rng(seed)
+    template = [f"t{i}" for i in range(150)]
+    texts = []
+    for k in range(size):
+        words = list(template)
+        for at in rng.integers(0, len(words), rng.integers(1, 6)):
+            words[at] = f"v{rng.integers(0, 40)}"
+        texts.append((k, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize("local", [64, 4096])
+def test_near_classes_in_a_loose_group(spark, monkeypatch, local):
+    monkeypatch.setattr(prob_minhash, "LOCAL", local)      # with and without thinning before the shuffle
+    texts = _loose_group(300, 11)
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    expected = _classes(texts)
+    assert 10 < len(set(expected.values())) < 290
+    assert got(prob_minhash.near_classes(df), "class_id") == expected
+
+
+def test_sketches_agree_with_the_similarity():
+    rng = np.random.default_rng(2)
+    signature = prob_minhash.mix(rng.integers(0, 1 << 60, (2, 512)).astype(np.uint64))
+    signature[1, :410] = signature[0, :410]                 # four fifths of the registers agree
+    marks = prob_minhash.sketch_bytes(signature)
+    assert len(prob_minhash.alike(marks, np.array([1, 2]), prob_minhash.least_agreement(0.8, 512))[0]) == 1
+    assert len(prob_minhash.alike(marks, np.array([1, 1]), 0)[0]) == 0
+    assert len(prob_minhash.alike(marks, np.array([1, 2]), prob_minhash.least_agreement(0.95, 512))[0]) == 0
+
+
 def test_language(spark, docs, edge):
     held_out = docs.where("doc_id >= 100")
     names, model = language.fit_characters(docs.where("doc_id < 100"), "text", "lang")
