@@ -27,6 +27,13 @@ def test_layout_paths():
     assert lay.table("my_extra_table") == "/w/tables/my_extra_table"
 
 
+def test_layout_feed_paths():
+    lay = Layout("/w", {"customers": "crm/cust_info.csv", "sales": "/in/sales.csv", "categories": "s3a://b/px.csv"})
+    assert lay.feed("customers") == "/w/bronze/crm/cust_info.csv"
+    assert lay.feed("sales") == "/in/sales.csv" and lay.feed("categories") == "s3a://b/px.csv"
+    assert lay.feed("products") == Layout("/w").feed("products")
+
+
 def test_configure_storage_sets_session_keys(spark):
     configure_storage(spark, {"fs.example.auth.type": "OAuth", "fs.example.client.id": "abc"})
     assert spark.conf.get("fs.example.auth.type") == "OAuth"

@@ -185,16 +185,17 @@ class Workflow:
 
 def run_warehouse(spark: SparkSession, root: str, storage_settings: dict[str, str] | None = None,
                   as_of: str | None = None, on_failure: str = "skip", key_method: str = "ranged",
-                  fmt: str | None = None, explicit_schemas: bool = True) -> list[AuditRecord]:
+                  fmt: str | None = None, explicit_schemas: bool = True,
+                  feed_paths: dict[str, str] | None = None) -> list[AuditRecord]:
     """The whole load in one call: storage settings, nine tasks, audit append.
 
-    Feeds are read from ``<root>/bronze``; tables go to ``<root>/silver`` and
+    Feeds are read from ``<root>/bronze`` (or ``feed_paths``, see ``Layout``); tables go to ``<root>/silver`` and
     ``<root>/gold``; audit rows to ``<root>/audit``.
     """
     if storage_settings:
         configure_storage(spark, storage_settings)
     tasks = warehouse_tasks(as_of=as_of, key_method=key_method)
-    return Workflow(tasks, Layout(root), fmt=fmt, on_failure=on_failure,
+    return Workflow(tasks, Layout(root, feed_paths or {}), fmt=fmt, on_failure=on_failure,
                     explicit_schemas=explicit_schemas).run(spark)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +41,19 @@ AUDIT_TABLE = "etl_audit"
 
 @dataclass(frozen=True)
 class Layout:
-    """Layered path layout under one root (S7): layer / source system / table."""
+    """Layered path layout under one root (S7): layer / source system / table.
+
+    ``feed_paths`` names other places of feeds: absolute paths or URLs as they
+    are, anything else under the bronze folder.
+    """
 
     root: str
+    feed_paths: Mapping[str, str] = field(default_factory=dict, hash=False)
 
     def feed(self, name: str) -> str:
+        if name in self.feed_paths:
+            path = self.feed_paths[name]
+            return path if "://" in path else os.path.join(self.root, BRONZE, path)
         system, file = FEED_FILES[name]
         return os.path.join(self.root, BRONZE, system, file)
 
