@@ -1,5 +1,8 @@
 """Sources and sinks: layout, storage configuration, format choice, observed counts."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from tierforge.session import scratch_path
@@ -61,6 +64,26 @@ def test_failed_write_reports_no_count(spark):
         assert "AssertionError" not in type(exc).__name__
 
 
+def test_failed_overwrite_keeps_the_old_table(spark):
+    path = scratch_path(spark, "atomic") + "/t"
+    assert write_table(spark.range(7).toDF("n"), path) == 7
+    broken = spark.range(0, 100, 1, 8).select(F.when(F.col("id") == 99, F.raise_error(F.lit("boom")).cast("bigint"))
+                                              .otherwise(F.col("id")).alias("n"))
+    with pytest.raises(Exception, match="boom"):
+        write_table(broken, path)
+    assert sorted(r.n for r in read_table(spark, path).collect()) == list(range(7))
+    # a table may even be rewritten from itself, and nothing is left beside it
+    assert write_table(read_table(spark, path).where("n < 3"), path) == 3
+    assert read_table(spark, path).count() == 3
+    folder = path.removeprefix("file://").removeprefix("file:").rsplit("/", 1)[0]
+    assert [f for f in os.listdir(folder) if not f.startswith(".")] == ["t"]
+
+
+def test_columns_are_found_in_any_case(spark):
+    row = spark.createDataFrame([(1, " a ")], "CST_ID bigint, Cst_Key string")
+    assert row.select("cst_id", F.trim("CST_KEY").alias("k")).collect() == [(1, "a")]
+
+
 def test_csv_keeps_spaces_and_nbsp(spark):
     path = scratch_path(spark, "csv")
     rows = [(" AW-1 ", "  "), ("AW-2", " USA "), ("AW-3", None), ("AW-4", "")]

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tierforge.plans import fixtures as X
 from tierforge.plans import tables as T
 from tierforge.plans.oracles import AS_OF
-from tierforge.plans.workflow import FAILED, SKIPPED, SUCCESS, Task, Workflow, warehouse_tasks, write_feeds
+from tierforge.plans.workflow import (
+    FAILED, SKIPPED, SUCCESS, AuditRecord, Task, Workflow, warehouse_tasks, write_audit, write_feeds)
 from tierforge.session import scratch_path
 from tierforge.sources.io import Layout, read_feed, read_table
 from tierforge.sources.schemas import AUDIT, FEEDS
@@ -110,6 +111,17 @@ def test_build_must_return_a_dataframe(spark, feeds_layout):
     assert rec.status == FAILED and "must build a DataFrame" in rec.error_message
 
 
+def test_audit_defaults(spark):
+    record = AuditRecord()
+    assert (record.task_name, record.layer, record.status) == ("unknown", "unknown", "UNKNOWN")
+    assert record.rows_processed == 0 and record.error_message is None
+    assert record.start_time == record.end_time and record.duration_seconds == 0.0
+    path = scratch_path(spark, "audit-defaults")
+    write_audit(spark, [AuditRecord(task_name="t", rows_processed=None)], path)
+    row = spark.read.schema(AUDIT).parquet(path).first()
+    assert (row.task_name, row.status, row.rows_processed) == ("t", "UNKNOWN", 0) and row.executed_at is not None
+
+
 def test_cycle_and_missing_inputs_rejected(spark, feeds_layout):
     t1 = Task("a", "x", "ta", ("tb",), lambda x: x)
     t2 = Task("b", "x", "tb", ("ta",), lambda x: x)

@@ -114,16 +114,51 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFr
     return spark.read.format(fmt or table_format(spark)).load(path)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the complete directory ``staged`` in the place of ``path``.
+
+    The old table is moved aside first and deleted last, so a failure leaves
+    the old or the new one, whole.
+    """
+    new, target, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{staged}-old"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaces = fs.exists(target)
+    if replaces and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        if replaces:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {staged} to {path}")
+    if replaces:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "overwrite") -> int:
     """S4 + A1: write ``df`` and return its row count from the same pass.
 
     The count is an ``Observation`` on the write, so the lineage runs once
     (not once for ``count()`` and again for the write). It is read only after
     the write succeeded, so a failed write never reports a partial count.
+
+    A parquet overwrite goes to a directory beside the table and is published
+    by renaming, so a failed one leaves the old table as it was. Delta commits
+    by itself.
     """
+    spark, fmt = df.sparkSession, fmt or table_format(df.sparkSession)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.format(fmt or table_format(df.sparkSession)).mode(mode).save(path)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt)
+    if mode != "overwrite" or fmt == "delta":
+        writer.mode(mode).save(path)
+        return int(obs.get["rows"])
+    parent, name = os.path.split(path.rstrip("/"))
+    staged = os.path.join(parent, f"_staged-{name}-{uuid.uuid4().hex[:12]}")
+    try:
+        writer.save(staged)
+        publish(spark, staged, path)
+    finally:
+        left = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        left.getFileSystem(spark._jsc.hadoopConfiguration()).delete(left, True)
     return int(obs.get["rows"])
 
 
