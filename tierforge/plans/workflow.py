@@ -1,11 +1,12 @@
 """Task runner and audit trail.
 
 A ``Task`` declares its inputs (raw feeds or upstream tables), its output
-table and a pure build function. ``Workflow.run`` executes tasks in
+table and a build function. ``Workflow.run`` executes tasks in
 dependency order; tasks whose inputs are ready run concurrently (Spark
-schedules jobs from several driver threads). Each task is one Spark action:
-the write, with the row count observed on it. All audit rows are appended in
-one write at the end, also when a task failed.
+schedules jobs from several driver threads). A task ends with one write, with
+the row count observed on it; builds with end dates or surrogate keys also
+write their ordered tables before. All audit rows are appended in one write at
+the end, also when a task failed.
 """
 
 from __future__ import annotations
