@@ -21,8 +21,8 @@ _KEY = ("__k1", "__k2")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text some language explains; the declared language and the source are evidence."""
-    return without(keyed(docs, "doc_id", "text"), language.identify(docs))
+    """Documents with letters whose language is clear or unknown to the model; the declared language and the source are evidence."""
+    return without(keyed(docs, "doc_id", "text"), language.identify(docs, keep_unlabelled=True))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

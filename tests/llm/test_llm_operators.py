@@ -278,6 +278,48 @@ def test_language(spark, docs, edge):
     assert not any(v[1] for v in got(language.identify(edge.withColumn("lang", F.lit(None).cast("string"))), "kept", "kept").values())
 
 
+_LATIN = {"en": "the quick brown fox jumps over a lazy dog while every child looks on from the window of the house".split(),
+          "de": "der schnelle braune fuchs springt \u00fcber den faulen hund und jedes kind schaut aus dem fenster des hauses".split()}
+_RUSSIAN = "\u0441\u0442\u0430\u0440\u044b\u0439 \u0434\u043e\u043c \u0441\u0442\u043e\u0438\u0442 \u0443 \u0440\u0435\u043a\u0438 \u0438 \u0434\u0435\u0442\u0438 \u0438\u0433\u0440\u0430\u044e\u0442 \u0432\u043e \u0434\u0432\u043e\u0440\u0435".split()
+_GREEK = "\u03c4\u03bf \u03c0\u03b1\u03bb\u03b9\u03cc \u03c3\u03c0\u03af\u03c4\u03b9 \u03b2\u03c1\u03af\u03c3\u03ba\u03b5\u03c4\u03b1\u03b9 \u03b4\u03af\u03c0\u03bb\u03b1 \u03c3\u03c4\u03bf \u03c0\u03bf\u03c4\u03ac\u03bc\u03b9".split()
+
+
+def _rare_languages(spark):
+    """3,000 documents: 0.1 % labelled ``ru`` in another script, one Greek without a label, the rest en and de."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(3000):
+        label, words = ("ru", _RUSSIAN) if i % 1000 == 7 else (None, _GREEK) if i == 11 else list(_LATIN.items())[i % 2]
+        rows.append((i, " ".join(rng.permutation(words)), label, f"host{i % 9}"))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+
+
+def test_rare_labels_are_languages_and_uncovered_texts_are_kept(spark):
+    df = _rare_languages(spark)
+    found = got(language.identify(df), "language", "kept")
+    assert {found[i] for i in (7, 1007, 2007)} == {("ru", True)}
+    assert found[11] == (None, True)
+    assert all(found[i] == (("en", "de")[i % 2], True) for i in found if i % 1000 != 7 and i != 11)
+    names, _ = language.fit_characters(df, "text", "lang", sample_docs=50)
+    assert names == ["de", "en", "ru"]
+
+
+def test_sample_of_each_label(spark):
+    df = _rare_languages(spark).where("lang is not null").withColumn("key", F.xxhash64("text"))
+    sizes = {r.lang: r["count"] for r in common.sampled(df, "key", 50, "lang").groupBy("lang").count().collect()}
+    assert sizes == {"de": 50, "en": 50, "ru": 3}
+    assert common.sampled(df, "key", 50).count() == 50
+
+
+def test_table_without_labels_keeps_texts_with_letters(spark, edge, tmp_path):
+    bare = edge.withColumn("lang", F.lit(None).cast("string"))
+    bare.select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    found = got(queries.op2_language(spark, str(tmp_path)), "language", "kept")
+    assert all(found[i] == (None, bool(brute.lw(t or "")) and any(c.isalpha() for c in t)) for i, t in enumerate(TEXTS))
+    stage = corpus_pipeline.identify_language(spark, bare, str(tmp_path))
+    assert {r.doc_id for r in stage.collect()} == {i for i, v in found.items() if v[1]}
+
+
 def test_language_of_pages(spark, sf_dir):
     pages = language.page_evidence(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     found = language.identify(pages, text="page_text", declared="declared", host="host", suffix=F.col("suffix"),

@@ -8,7 +8,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierforge.session import scratch_path
@@ -130,13 +130,19 @@ def without(docs: DataFrame, decisions: DataFrame, max_rows: int = 2_000_000) ->
     return docs.join(bounded_broadcast(dropped, max_rows), ["__k1", "__k2"], "left_anti").select(*columns)
 
 
-def sampled(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """At most ``size`` rows, those with the least hash of ``key``.
+def sampled(rows: DataFrame, key: str, size: int, by: str | None = None) -> DataFrame:
+    """The rows of the ``size`` least hashes of ``key``; with ``by``, of so many in each of its values.
 
-    Rows are first thinned by their hash to some times ``size``, so what meets
-    in one task does not grow with the input.
+    Hashes are thinned to some times ``size`` in a group before they are ranked,
+    so what meets in one task does not grow with the input, and the rows
+    themselves move only once chosen. One row per value of ``by`` is broadcast.
     """
-    h = F.xxhash64(F.lit("sample"), F.col(key))
-    share = min(1.0, 8.0 * size / max(1, rows.count()))
-    bound = int(share * (1 << 30))
-    return rows.withColumn("__h", h).where(F.pmod("__h", F.lit(1 << 30)) < bound).orderBy("__h").limit(size).drop("__h")
+    group = F.lit(0).cast("bigint") if by is None else F.xxhash64(F.lit("group"), F.col(by))
+    hashed = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col(key)), 1)
+    rows = rows.withColumns({"__g": group, "__h": hashed})
+    bound = F.least(F.lit(1.0), F.lit(8.0 * size) / F.count(F.lit(1))) * F.lit(2.0 ** 63)
+    bounds = rows.groupBy("__g").agg(bound.alias("__bound"))
+    thin = rows.select("__g", "__h").join(F.broadcast(bounds), "__g").where("__h <= __bound").select("__g", "__h")
+    place = F.row_number().over(Window.partitionBy("__g").orderBy("__h"))
+    last = thin.withColumn("__n", place).where(F.col("__n") <= size).groupBy("__g").agg(F.max("__h").alias("__last"))
+    return rows.join(F.broadcast(last), "__g").where("__h <= __last").drop("__g", "__h", "__last")

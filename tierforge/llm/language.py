@@ -6,18 +6,22 @@ the markup or the record declares, and a prior for the host. Host priors are
 smoothed in levels (host, address suffix, whole corpus); host, suffix and
 declaration tables are grouped sums of the text posteriors over all documents.
 
-The character model is fitted on a bounded sample of labelled documents
-(SAMPLE_DOCS documents, SAMPLE_CHARS characters of each); everything else is
-counted over all rows and whole texts.
+The character model is fitted on a bounded sample of every label's documents
+(SAMPLE_DOCS documents of each label, SAMPLE_CHARS characters of each document),
+so a rare label is a language as well; everything else is counted over all rows
+and whole texts. The model takes 128 KB a label.
 
-A document is rejected (``kept`` false) if no language explains its text: it
-has no letters, or the best language is less likely than a uniform model, or
-the fused posterior is below MIN_POSTERIOR.
+A document is rejected (``kept`` false) if it has no letters, or if the models
+explain its text but the fused posterior is below MIN_POSTERIOR. A text that is
+less likely under every language than under a uniform model is covered by none:
+its language is unknown (null, posterior 0), it gives no evidence of its host or
+declaration, and it is kept.
 
 Defined cases: null text, host, address or declaration give no evidence of
 that kind; a null or letterless text is rejected with a null language; ties go
 to the language that sorts first; repeated rows give repeated results; without
-any labelled row every document is rejected; other columns may bear any name.
+any labelled row every language is unknown, and texts with letters are kept if
+``keep_unlabelled`` says so, else rejected; other columns may bear any name.
 """
 
 from __future__ import annotations
@@ -33,13 +37,13 @@ from pyspark.sql import functions as F
 from tierforge.llm.common import keyed, let, sampled, ship, spread_join, written
 from tierforge.llm.tokens import slices
 
-SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000
-MIN_SHARE = 0.005         # of the sample; rarer labels are no languages of the model
+SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000      # documents of each label, characters of each
 BUCKETS = 1 << 15         # of hashed character trigrams
 TEMPER = 60               # a text counts as at most so many independent trigrams
 SMOOTHING = 20.0          # weight of the level above, in documents
 DECLARED_SMOOTHING = 5.0
 MIN_POSTERIOR = 0.5
+LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"      # the middle of a trigram that counts
 
 
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +70,7 @@ def fit_characters(docs: DataFrame, text: str, label: str, sample_docs: int = SA
     ship(docs.sparkSession)
     labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     sample = sampled(labelled.select(F.col(label).cast("string").alias("label"), F.xxhash64(label, text).alias("key"),
-                                     F.substring(F.col(text), 1, sample_chars).alias("text")), "key", sample_docs)
+                                     F.substring(F.col(text), 1, sample_chars).alias("text")), "key", sample_docs, "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,24 +79,19 @@ def fit_characters(docs: DataFrame, text: str, label: str, sample_docs: int = SA
             for name in sorted(set(labels)):
                 own = [t for t, x in zip(texts, labels) if x == name]
                 buckets, n = np.unique(_trigrams(own)[0], return_counts=True)
-                yield pa.record_batch([pa.array([name] * (len(buckets) + 1), pa.string()),
-                                       pa.array([-1, *buckets], pa.int32()), pa.array([len(own), *n], pa.int64())],
-                                      names=["label", "bucket", "n"])
+                yield pa.record_batch([pa.array([name] * len(buckets), pa.string()), pa.array(buckets, pa.int32()),
+                                       pa.array(n, pa.int64())], names=["label", "bucket", "n"])
 
     counts = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n bigint")
                     .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
-    by_label: dict[str, np.ndarray] = {}
-    docs_of: dict[str, int] = {}
-    for r in counts.collect():            # bounded by the sample: labels x (BUCKETS + 1)
-        if r["bucket"] < 0:
-            docs_of[r["label"]] = r["n"]
-        else:
-            by_label.setdefault(r["label"], np.zeros(BUCKETS))[r["bucket"]] = r["n"]
-    total = sum(docs_of.values())
-    names = sorted(n for n in by_label if docs_of[n] >= MIN_SHARE * total)
+    found = counts.toArrow()              # bounded by the sample: at most labels x BUCKETS rows
+    label_of = found.column("label").combine_chunks().dictionary_encode()
+    names = sorted(label_of.dictionary.to_pylist())
     if not names:
         return [], np.zeros((BUCKETS, 0), dtype=np.float32)
-    table = np.stack([by_label[n] for n in names], axis=1) + 0.05
+    place = np.array([names.index(n) for n in label_of.dictionary.to_pylist()])[label_of.indices.to_numpy()]
+    table = np.full((BUCKETS, len(names)), 0.05)
+    table[found.column("bucket").to_numpy(), place] += found.column("n").to_numpy()
     return names, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
@@ -139,7 +138,7 @@ def _smoothed(counts: Column, above: Column, weight: float) -> Column:
 
 def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang", host: Column | str | None = "source",
              suffix: Column | None = None, label: str | None = "lang", key: tuple[str, ...] = ("doc_id", "text"),
-             names: list[str] | None = None, model: np.ndarray | None = None) -> DataFrame:
+             names: list[str] | None = None, model: np.ndarray | None = None, keep_unlabelled: bool = False) -> DataFrame:
     """One row per input row: ``__k1, __k2`` (hash of ``key``), the ``key`` columns but the text, language, posterior, kept."""
     if model is None:
         names, model = fit_characters(docs, text, label)
@@ -152,12 +151,14 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
         F.col(text).alias("text"))
     if not names:
         return rows.select("__k1", "__k2", *ids, F.lit(None).cast("string").alias("language"),
-                           F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
+                           F.lit(0.0).alias("posterior"),
+                           (F.lit(keep_unlabelled) & F.coalesce(F.col("text").rlike(LETTER), F.lit(False))).alias("kept"))
     uniform = math.log(1 / BUCKETS)
     scored = written(score_texts(rows, model), "language-scores")
     evidence = F.transform("mean", lambda m: m * F.least(F.col("n"), F.lit(TEMPER)))
     scored = scored.withColumn("p", _softmax(evidence))
-    clear = scored.where(F.col("n") > 0)
+    covered = (F.col("n") > 0) & (F.array_max("mean") > uniform)
+    clear = scored.where(covered)
     # hot hosts shrink to one row per task before the shuffle
     hosts = written(_summed(clear, ["__host", "__suffix"], names), "hosts")
     whole = _summed(hosts.select(F.col("c").alias("p")), [], names).first()["c"]
@@ -174,14 +175,13 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
     logs = F.zip_with(F.zip_with(evidence, F.coalesce("prior", top), lambda e, p: e + F.log(p)),
                       F.coalesce("told", even), lambda e, d: e + F.log(d))
     languages = F.array(*[F.lit(n) for n in names])
-    out = fused.select("__k1", "__k2", *ids, "n", F.array_max("mean").alias("best"), _softmax(logs).alias("p"))
+    out = fused.select("__k1", "__k2", *ids, "n", covered.alias("covered"), _softmax(logs).alias("p"))
     posterior = F.array_max("p")
-    explained = (F.col("n") > 0) & (F.col("best") > uniform)
     return out.select(
         "__k1", "__k2", *ids,
-        F.when(F.col("n") > 0, F.element_at(languages, F.array_position("p", posterior).cast("int"))).alias("language"),
-        F.when(F.col("n") > 0, posterior).otherwise(0.0).alias("posterior"),
-        (explained & (posterior >= MIN_POSTERIOR)).alias("kept"))
+        F.when(F.col("covered"), F.element_at(languages, F.array_position("p", posterior).cast("int"))).alias("language"),
+        F.when(F.col("covered"), posterior).otherwise(0.0).alias("posterior"),
+        ((F.col("n") > 0) & (~F.col("covered") | (posterior >= MIN_POSTERIOR))).alias("kept"))
 
 
 def page_evidence(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

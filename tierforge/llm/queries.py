@@ -21,7 +21,7 @@ def op1_pii(spark, sf_dir):
 
 
 def op2_language(spark, sf_dir):
-    found = language.identify(_table(spark, sf_dir, "documents"))
+    found = language.identify(_table(spark, sf_dir, "documents"), keep_unlabelled=True)
     return found.select("doc_id", "language", "posterior", "kept")
 
 
