@@ -311,6 +311,14 @@ def test_sample_of_each_label(spark):
     assert common.sampled(df, "key", 50).count() == 50
 
 
+def test_copies_take_one_place_of_a_sample(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 40 > 0, "hot").otherwise(F.col("id").cast("string")).alias("key"), F.lit("x").alias("lang"))
+    for by in (None, "lang"):
+        for size in (20, 2000):
+            keys = [r.key for r in common.sampled(rows, "key", size, by).select("key").collect()]
+            assert len(keys) == len(set(keys)) == min(size, 1001)
+
+
 def test_table_without_labels_keeps_texts_with_letters(spark, edge, tmp_path):
     bare = edge.withColumn("lang", F.lit(None).cast("string"))
     bare.select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")

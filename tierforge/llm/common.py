@@ -131,8 +131,9 @@ def without(docs: DataFrame, decisions: DataFrame, max_rows: int = 2_000_000) ->
 
 
 def sampled(rows: DataFrame, key: str, size: int, by: str | None = None) -> DataFrame:
-    """The rows of the ``size`` least hashes of ``key``; with ``by``, of so many in each of its values.
+    """One row of each of the ``size`` least hashes of ``key``; with ``by``, so many in each of its values.
 
+    Copies (rows of one ``key``) take one place, and shares count distinct hashes.
     Hashes are thinned to some times ``size`` in a group before they are ranked,
     so what meets in one task does not grow with the input, and the rows
     themselves move only once chosen. One row per value of ``by`` is broadcast.
@@ -140,9 +141,10 @@ def sampled(rows: DataFrame, key: str, size: int, by: str | None = None) -> Data
     group = F.lit(0).cast("bigint") if by is None else F.xxhash64(F.lit("group"), F.col(by))
     hashed = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col(key)), 1)
     rows = rows.withColumns({"__g": group, "__h": hashed})
-    bound = F.least(F.lit(1.0), F.lit(8.0 * size) / F.count(F.lit(1))) * F.lit(2.0 ** 63)
+    bound = F.least(F.lit(1.0), F.lit(8.0 * size) / F.approx_count_distinct("__h")) * F.lit(2.0 ** 63)
     bounds = rows.groupBy("__g").agg(bound.alias("__bound"))
-    thin = rows.select("__g", "__h").join(F.broadcast(bounds), "__g").where("__h <= __bound").select("__g", "__h")
+    thin = rows.select("__g", "__h").join(F.broadcast(bounds), "__g").where("__h <= __bound").select("__g", "__h").distinct()
     place = F.row_number().over(Window.partitionBy("__g").orderBy("__h"))
     last = thin.withColumn("__n", place).where(F.col("__n") <= size).groupBy("__g").agg(F.max("__h").alias("__last"))
-    return rows.join(F.broadcast(last), "__g").where("__h <= __last").drop("__g", "__h", "__last")
+    chosen = rows.join(F.broadcast(last), "__g").where("__h <= __last")
+    return chosen.dropDuplicates(["__g", "__h"]).drop("__g", "__h", "__last")

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import let, sampled
+from tierforge.llm.common import let, sampled, written
 from tierforge.llm.spans import joined, located, overlaps
 
 # The patterns of the base kinds.
@@ -69,10 +69,11 @@ def fit_ratio(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOC
     the result has SYMBOLS squared numbers whatever the corpus.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    words = F.slice(F.regexp_extract_all(value, F.lit(ORDINARY), F.lit(0)), 1, sample_tokens)
-    found = F.slice(F.transform(F.regexp_extract_all(value, F.lit(ASSIGN), F.lit(1)), lambda v: v), 1, sample_tokens)
-    sample = sampled(docs.select(F.xxhash64(value).alias("key"), words.alias("words"), found.alias("found")), "key",
-                     sample_docs)
+    texts = sampled(docs.select(F.xxhash64(value).alias("key"), value.alias("text")), "key", sample_docs)
+    words = F.slice(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0)), 1, sample_tokens)
+    found = F.slice(F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), lambda v: v), 1, sample_tokens)
+    # written: three branches below read it
+    sample = written(texts.select(words.alias("words"), found.alias("found")), "secret-sample")
     ordinary = sample.select(F.lit(0).alias("label"), F.explode("words").alias("token"))
     digest = F.base64(F.unhex(F.sha2(F.col("token"), 256)))
     random = ordinary.select(F.lit(1).alias("label"), digest.alias("token")).unionByName(
