@@ -256,6 +256,18 @@ def test_near_classes_in_a_loose_group(spark, monkeypatch, local):
     assert got(prob_minhash.near_classes(df), "class_id") == expected
 
 
+def test_verified_links_are_named_so(spark):
+    base = [f"t{i}" for i in range(200)]
+    texts = [(k, " ".join([*base[:-1], f"v{k}"])) for k in range(40)]           # 40 texts, all similar to one another
+    df = spark.createDataFrame([*texts, (100, "a lone text of six words")], "doc_id bigint, text string")
+    classes = prob_minhash.near_classes(df)
+    assert classes.columns == ["doc_id", "class_id", "class_size", "n_verified_links", "kept"]
+    found = got(classes, "class_id", "class_size", "n_verified_links")
+    assert found[100] == (100, 1, 0) and all(found[k][:2] == (0, 40) and 1 <= found[k][2] <= 39 for k in range(40))
+    few = got(prob_minhash.near_classes(df.where("doc_id < 8")), "n_verified_links")
+    assert all(v == (7,) for v in few.values())                                # small buckets: all pairs
+
+
 def test_sketches_agree_with_the_similarity():
     rng = np.random.default_rng(2)
     signature = prob_minhash.mix(rng.integers(0, 1 << 60, (2, 512)).astype(np.uint64))

@@ -438,7 +438,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``carry`` columns, doc_id, class_id, class_size, n_links (of its text), kept (the class's smallest id)."""
+    """One row per input row: ``carry`` columns, doc_id, class_id, class_size, n_verified_links, kept (the class's smallest id).
+
+    ``n_verified_links`` counts the candidate pairs of the row's text that were
+    verified. In buckets of more than ALL_PAIRS texts not all pairs are
+    candidates, so it is no count of all similar texts.
+    """
     ship(docs.sparkSession)
     c1, c2 = fingerprint(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(*carry, F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -474,17 +479,17 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         labels = grown.join(between.select(F.col("node").alias("label"), F.col("label").alias("joined")), "label", "left").select(
             "member.*", F.coalesce("joined", "label").alias("label"))
         links = links.unionByName(more)
-    degree = links.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("n_verified_links"))
     texts = rows.groupBy(*KEY).agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"),
                                    F.max(F.col("text").rlike(LETTER)).alias("worded"))
-    texts = (texts.join(labels, list(KEY), "left").join(degree.select("n.c1", "n.c2", "n_links"), list(KEY), "left")
+    texts = (texts.join(labels, list(KEY), "left").join(degree.select("n.c1", "n.c2", "n_verified_links"), list(KEY), "left")
                   .withColumn("label", F.coalesce("label", F.struct(*KEY))))
     texts = written(texts, "near-texts-classes")
     classes = texts.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
-    named = texts.join(classes, "label").select(*KEY, "class_id", "class_size", "n_links", "worded")
+    named = texts.join(classes, "label").select(*KEY, "class_id", "class_size", "n_verified_links", "worded")
     alone = ~F.col("worded")
     return spread_join(rows.select(*carry, "doc_id", *KEY), named, KEY).select(
         *carry, "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("bigint").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("n_verified_links", F.lit(0)).cast("bigint").alias("n_verified_links"),
         (alone | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
