@@ -132,6 +132,25 @@ def test_proximity(spark):
     assert sorted(r.doc_id for r in near.collect()) == [1, 2] and [r.doc_id for r in exact.collect()] == [2]
 
 
+def test_proximity_at_the_start_with_absent_words_and_of_one_word(spark):
+    rows = spark.createDataFrame([(1, "beta alpha"), (2, "alpha y beta"), (3, "solo"), (4, "alpha"), (5, "twin"), (6, "twin twin")],
+                                 "doc_id bigint, text string")
+    k1, k2 = common.fingerprint("text")
+    rows = rows.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
+    distinct, _ = decontaminate.windows(spark.createDataFrame(
+        [(1, "alpha unseen beta"), (2, "solo"), (3, "alpha absent"), (4, "twin twin")], "item_id int, text string"))
+    terms = distinct.select(F.explode("words").alias("term")).distinct()
+    frequency = decontaminate.term_frequencies(rows.select("text"), terms)
+    plan = decontaminate.plan_searches(distinct, frequency, phrases=False)
+    searches = common.written(plan.withColumn("wid", F.monotonically_increasing_id()), "test-searches")
+    index = decontaminate.build_index(rows.select("k1", "k2", "text"), terms, 9)
+    near = decontaminate.proximity_matches(index, searches, 3).join(rows, ["k1", "k2"]).join(searches, "wid")
+    assert sorted((r.window, r.doc_id) for r in near.collect()) == [
+        ("alpha unseen beta", 1), ("alpha unseen beta", 2), ("solo", 3), ("twin twin", 6)]
+    exact = decontaminate.phrase_matches(index, searches).join(rows, ["k1", "k2"]).collect()
+    assert sorted(r.doc_id for r in exact) == [3, 6]
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_substring_levels(request, which):
     df = request.getfixturevalue(which)

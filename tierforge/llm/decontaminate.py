@@ -75,16 +75,17 @@ def term_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return terms.select("term", F.lit(0).cast("bigint").alias("n")).limit(0) if out is None else out
 
 
-def plan_searches(distinct: DataFrame, frequency: DataFrame) -> DataFrame:
+def plan_searches(distinct: DataFrame, frequency: DataFrame, phrases: bool = True) -> DataFrame:
     """``(window, words, first, second)``: the rarest two (offset, term) of each window.
 
     ``second`` is null for one-word windows. A window with a term that the
-    corpus lacks can't occur and is left out.
+    corpus lacks can't occur as a phrase and is left out; for proximity (not
+    ``phrases``) it is searched by its terms that do occur, null if only one does.
     """
     terms = distinct.select("window", "words", F.posexplode("words").alias("offset", "term"))
     ranked = terms.join(frequency, "term").groupBy("window", "words").agg(
         F.array_sort(F.collect_list(F.struct("n", "offset", "term"))).alias("t"))   # at most one window's words
-    return ranked.where(F.size("t") == F.size("words")).select(
+    return (ranked.where(F.size("t") == F.size("words")) if phrases else ranked).select(
         "window", "words", F.col("t")[0].alias("first"), F.get("t", F.lit(1)).alias("second"))
 
 
@@ -116,12 +117,12 @@ def build_index(texts: DataFrame, terms: DataFrame, context: int) -> DataFrame:
 
 
 def _list(index: DataFrame, searches: DataFrame, which: str, *columns: str) -> DataFrame:
-    """Posting lists of the windows' ``which`` terms, shifted to window starts."""
+    """Posting lists of the windows' ``which`` terms, shifted to window starts (below 0 if the window would begin before the text)."""
     side = bounded_broadcast(written(searches.where(F.col(which).isNotNull()).select(
         "wid", "words", F.col(f"{which}.term").alias("term"), F.col(f"{which}.offset").alias("offset")),
         f"search-{which}"), BROADCAST_ROWS)
     return index.join(side, "term").select("wid", "words", *KEY, (F.col("pos") - F.col("offset")).alias("start"),
-                                           "offset", *columns).where("start >= 0")
+                                           "offset", *columns)
 
 
 def phrase_matches(index: DataFrame, searches: DataFrame) -> DataFrame:
@@ -129,8 +130,8 @@ def phrase_matches(index: DataFrame, searches: DataFrame) -> DataFrame:
 
     ``searches``: plan_searches() with a numeric ``wid``.
     """
-    first = _list(index, searches, "first", "pos", "around")
-    second = _list(index, searches, "second").select("wid", *KEY, "start")
+    first = _list(index, searches, "first", "pos", "around").where("start >= 0")
+    second = _list(index, searches, "second").where("start >= 0").select("wid", *KEY, "start")
     both = spread_join(first.where(F.size("words") > 1), second, ["wid", *KEY, "start"], "left_semi")
     candidates = both.unionByName(first.where(F.size("words") == 1))
     # where the window begins inside ``around``, which holds min(pos, context) words before the term
@@ -142,15 +143,21 @@ def phrase_matches(index: DataFrame, searches: DataFrame) -> DataFrame:
 def proximity_matches(index: DataFrame, searches: DataFrame, slop: int) -> DataFrame:
     """``(wid, k1, k2)`` where a window's two rarest terms lie within ``slop`` words of their places.
 
+    ``searches``: plan_searches() without ``phrases``. A one-word window matches
+    wherever its word is; a longer one of which a single term occurs, nowhere.
     Shifted positions are compared by buckets of ``slop`` words and their
     neighbours, an equi-join.
     """
     bucket = F.floor(F.col("start") / F.lit(max(slop, 1)))
-    first = _list(index, searches, "first").select("wid", *KEY, F.col("start").alias("a"), bucket.alias("b"))
-    second = _list(index, searches, "second").select(
-        "wid", *KEY, F.col("start").alias("c"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    near = spread_join(first, second, ["wid", *KEY, "b"]).where(F.abs(F.col("a") - F.col("c")) <= slop)
-    return near.select("wid", *KEY).distinct()
+    lists = _list(index, searches, "first", "pos")
+    first = lists.select("wid", *KEY, F.col("start").alias("a"), F.col("pos").alias("p"), bucket.alias("b"))
+    second = _list(index, searches, "second", "pos").select(
+        "wid", *KEY, F.col("start").alias("c"), F.col("pos").alias("q"),
+        F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
+    # a window's repeated term needs two places
+    near = spread_join(first, second, ["wid", *KEY, "b"]).where((F.abs(F.col("a") - F.col("c")) <= slop) & (F.col("p") != F.col("q")))
+    single = lists.where(F.size("words") == 1).select("wid", *KEY)
+    return near.select("wid", *KEY).unionByName(single).distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
