@@ -88,3 +88,92 @@ def op3(docs,N=400):
         runs=len(re.findall(b'\1+',bytes(m)))
         out[i]=(len(b),sum(m),runs,sha(bytes(x for x,y in zip(b,m) if not y)))
     return out
+def op12(rows):
+    """rows: (conv_id, turn, role, text). A left-to-right search over the places of the pattern."""
+    import zlib
+    convs=collections.defaultdict(list); ws="\x20\x09\x0a\x0b\x0c\x0d"
+    sp=lambda x: " " if x is None else x
+    for c,t,r,x in rows:
+        convs[c]; r,x=sp(r),sp(x); f=zlib.crc32(f"{sp(c)}:{sp(t)}".encode())%20
+        if f==0: continue
+        if f==1: x=""
+        if f==2: x=re.sub("[.!?]","",x)
+        if f==4: r="user"
+        convs[c]+=[(t,r,x)]*(2 if f==3 else 1)
+    return {c:op12_repair(v) for c,v in convs.items()}
+STEP={(0,"s"):1,(0,"u"):2,(1,"u"):2,(3,"u"):2,(2,"a"):3}
+def op12_faults(v):
+    seen=set(); out=[]
+    for t,r,x in v:
+        y=x.strip("\x20\x09\x0a\x0b\x0c\x0d")
+        out.append("blank" if not y else "duplicate" if (r,x) in seen else "truncated" if y[-1] not in ".!?" else ""); seen.add((r,x))
+    return out
+def op12_best(items):
+    """items: (initial, fault); least (cost, audit)."""
+    best={0:(0,"")}
+    def inserts():
+        for _ in range(4):
+            for p,(c,a) in list(best.items()):
+                for x in "ua":
+                    q=STEP.get((p,x))
+                    if q is not None and (c+2,a+"I")<best.get(q,(10**9,)): best[q]=(c+2,a+"I")
+    inserts()
+    for i,f in items:
+        new={}
+        for p,(c,a) in best.items():
+            moves=[(p,3,"D")]
+            if f not in("blank","duplicate"):
+                e=f=="truncated"
+                moves+=[(STEP.get((p,i)),e,"K")]+[(STEP.get((p,x)),2+e,"R") for x in "ua"]
+            for q,k,l in moves:
+                if q is not None and (c+k,a+l)<new.get(q,(10**9,)): new[q]=(c+k,a+l)
+        best=new; inserts()
+    return min(best[q] for q in (0,3) if q in best)
+def op12_repair(v):
+    v=sorted(v,key=lambda z:(z[0] is not None,z[0] or 0,z[1]))
+    if not v: return (0,0,0,0,0,0,"",sha(""))
+    f=op12_faults(v); turns={t for t,_,_ in v if t is not None}
+    gaps=max(turns)-min(turns)+1-len(turns) if turns else 0
+    ill=sum(a[1][:1]+b[1][:1] not in("su","ua","au") for a,b in zip(v,v[1:]))
+    cost,audit=op12_best([(r[:1],k) for (_,r,_),k in zip(v,f)])
+    n=len(audit)-audit.count("D"); want=("s" if n%2 else "")+"ua"*(n//2); name={"u":"user","a":"assistant"}
+    lines=[]; it=iter(v); j=0
+    for l in audit:
+        t,r,x=next(it) if l!="I" else (None,"","")
+        if l=="D": continue
+        lines.append(f"{r if l=='K' else name[want[j]]}:{x}"); j+=1
+    return (gaps,f.count("blank"),f.count("duplicate"),f.count("truncated"),ill,cost,audit,sha("\n".join(lines)))
+def op13(rows):
+    """rows: (vec_id, label, vector)."""
+    import math
+    pts=set()
+    for i,l,v in rows:
+        if l is None or v is None or any(x is None or not math.isfinite(x) for x in v): continue
+        if i is not None and i%7==0: l=(l+1)%10
+        pts.add((i,l,tuple(math.floor(256*x) for x in v)))
+    key=lambda z:(-z[0],z[1] is None,z[1] or 0)
+    out=[]
+    for i,l,v in pts:
+        if i is None or i%100: continue
+        sc=[(sum(a*b for a,b in zip(v,w)),j,m) for j,m,w in pts]
+        pos=sorted([(s,j) for s,j,m in sc if m==l and j!=i],key=key)[:5]
+        for ps,j in pos:
+            neg=sorted([(s,k) for s,k,m in sc if m!=l and 30*ps<=100*s<=90*ps],key=key)[:10]
+            out+=[(i,j,n+1,k,ps,s) for n,(s,k) in enumerate(neg)]
+    return sorted(out,key=str)
+def op11(rows,weights=(3,1,2)):
+    """rows: (doc_id, source, text): sizes, targets by source (as fractions)."""
+    from fractions import Fraction
+    size=[len(re.findall(r"[^\x20\x09-\x0D]+",t or "")) for _,_,t in rows]
+    src=collections.Counter()
+    for (_,s,_),n in zip(rows,size): src[s]+=n
+    names=sorted(src,key=lambda s:(s is None,(s or "").encode())); w={s:weights[i%3] for i,s in enumerate(names)}
+    T=Fraction(3*sum(size),2); clamped=set()
+    while True:
+        open_=[s for s in names if s not in clamped]
+        if not open_: break
+        lam=(T-sum(2*src[s] for s in clamped))/sum(w[s] for s in open_)
+        more={s for s in open_ if lam*w[s]>2*src[s]}
+        if not more: break
+        clamped|=more
+    return size,src,{s:Fraction(2*src[s]) if s in clamped else lam*w[s] for s in names}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierforge.llm import decontaminate, exact_recipes, language, packing, pii, prob_minhash, secret_markov, substring_levels, suffix_shards, tokens
+from tierforge.llm import (
+    decontaminate, exact_recipes, hard_negatives, language, mixing, packing, pii, prob_minhash, repair, secret_markov,
+    substring_levels, suffix_shards, tokens)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +59,19 @@ def op10_prob_minhash(spark, sf_dir):
     return prob_minhash.near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark, sf_dir):
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op12_repair(spark, sf_dir):
+    return repair.repair(repair.damaged(_table(spark, sf_dir, "conversations")), present="present")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_pii, op2_language, op3_suffix_shards, op4_packing, op5_decontaminate, op6_exact_recipes, op7_token_counts, op8_secret_markov,
-        op9_substring_levels, op10_prob_minhash)}
+        op9_substring_levels, op10_prob_minhash, op11_mixing, op12_repair, op13_hard_negatives)}
