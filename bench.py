@@ -23,7 +23,7 @@ from tierforge.plans import fixtures as X  # noqa: E402
 from tierforge.plans.oracles import AS_OF  # noqa: E402
 from tierforge.plans.workflow import Workflow, warehouse_tasks, write_feeds  # noqa: E402
 from tierforge.session import build_session, checkpoint_dir, scratch_path  # noqa: E402
-from tierforge.sources.io import Layout  # noqa: E402
+from tierforge.sources.io import Layout, read_table  # noqa: E402
 
 HEADLINE = [
     "silver_customers", "silver_product_versions", "silver_sales", "silver_erp_customers",
@@ -92,7 +92,7 @@ def main() -> None:
     gold_plans = {name: queries[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
                   for name in ("dim_customers", "dim_products", "fact_sales")}
     structure = {
-        "audit_files_per_run": len(spark.read.parquet(run_layout.audit()).inputFiles()),
+        "audit_files_per_run": len(read_table(spark, run_layout.audit(), "parquet").inputFiles()),
         "single_partition_exchanges_in_gold_plans": sum(p.count("SinglePartition") for p in gold_plans.values()),
         # AQE submits one job per query stage, so a task with shuffles has several jobs for its one write
         "spark_jobs_per_task": {r.task_name: len(tracker.getJobIdsForGroup(r.job_group)) for r in records},

@@ -94,10 +94,10 @@ def test_csv_keeps_spaces_and_nbsp(spark):
 
 def test_append_rows_appends_one_file(spark):
     path = scratch_path(spark, "audit")
-    row = ("t", "silver", "SUCCESS", 3, None, None, 0.5, None, None)
+    row = ("t", "silver", "SUCCESS", 3, None, None, 0.5, None, None, 0, None)
     append_rows(spark, [row, row], AUDIT, path)
     append_rows(spark, [row], AUDIT, path)
-    df = spark.read.schema(AUDIT).parquet(path)
+    df = read_table(spark, path, "parquet")
     assert df.count() == 3
     assert len(df.inputFiles()) == 2
 

@@ -11,7 +11,7 @@ from tierforge.plans.workflow import (
     FAILED, SKIPPED, SUCCESS, AuditRecord, Task, Workflow, warehouse_tasks, write_audit, write_feeds)
 from tierforge.session import scratch_path
 from tierforge.sources.io import Layout, read_feed, read_table
-from tierforge.sources.schemas import AUDIT, FEEDS
+from tierforge.sources.schemas import FEEDS
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def _fresh(spark, feeds_layout):
 
 
 def _audit(spark, layout):
-    return spark.read.schema(AUDIT).parquet(layout.audit())
+    return read_table(spark, layout.audit(), "parquet")
 
 
 def test_full_run(spark, sf_dir, feeds_layout):
@@ -118,7 +118,7 @@ def test_audit_defaults(spark):
     assert record.start_time == record.end_time and record.duration_seconds == 0.0
     path = scratch_path(spark, "audit-defaults")
     write_audit(spark, [AuditRecord(task_name="t", rows_processed=None)], path)
-    row = spark.read.schema(AUDIT).parquet(path).first()
+    row = read_table(spark, path, "parquet").first()
     assert (row.task_name, row.status, row.rows_processed) == ("t", "UNKNOWN", 0) and row.executed_at is not None
 
 

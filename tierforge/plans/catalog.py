@@ -22,7 +22,7 @@ from tierforge.plans.oracles import AS_OF
 from tierforge.plans.workflow import Workflow, warehouse_tasks, write_feeds
 from tierforge.session import scratch_path
 from tierforge.sources.io import Layout, read_feed, read_table, write_feed, write_table
-from tierforge.sources.schemas import AUDIT, CUSTOMERS_FEED
+from tierforge.sources.schemas import CUSTOMERS_FEED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,7 +131,7 @@ def _run_workflow(spark, sf_dir, skip_feeds=()):
     feeds = {k: v for k, v in X.feeds(spark, sf_dir).items() if k not in skip_feeds}
     write_feeds(feeds, layout)
     Workflow(warehouse_tasks(as_of=AS_OF), layout).run(spark)
-    audit = spark.read.schema(AUDIT).parquet(layout.audit())
+    audit = read_table(spark, layout.audit(), "parquet")
     return audit.select("task_name", "layer", "status", "rows_processed")
 
 

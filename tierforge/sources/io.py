@@ -8,6 +8,7 @@ session has the Delta extension on its classpath.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tierforge.sources import commits
+
 # Layer folders and table names of the warehouse layout.
 BRONZE, SILVER, GOLD, AUDIT_DIR = "bronze", "silver", "gold", "audit"
 CRM, ERP = "source_crm", "source_erp"
@@ -53,7 +56,7 @@ class Layout:
     def feed(self, name: str) -> str:
         if name in self.feed_paths:
             path = self.feed_paths[name]
-            return path if "://" in path else os.path.join(self.root, BRONZE, path)
+            return path if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path) else os.path.join(self.root, BRONZE, path)
         system, file = FEED_FILES[name]
         return os.path.join(self.root, BRONZE, system, file)
 
@@ -69,6 +72,14 @@ class Layout:
         """Incremental loads keep tables of their own: a file sink's log and batch overwrites don't mix."""
         return os.path.join(self.root, "stream", name)
 
+    def quarantine(self) -> str:
+        """Feed records with rejected values."""
+        return os.path.join(self.root, AUDIT_DIR, "quarantine")
+
+    def ledger(self, run_id: str) -> str:
+        """What the tasks of one run have finished."""
+        return os.path.join(self.root, AUDIT_DIR, "runs", run_id)
+
     def audit(self) -> str:
         return os.path.join(self.root, AUDIT_DIR, AUDIT_TABLE)
 
@@ -79,12 +90,15 @@ def table_format(spark: SparkSession) -> str:
     return "delta" if "delta" in ext.lower() else "parquet"
 
 
-def file_schema(spark: SparkSession, path: str, declared: StructType) -> StructType:
+Paths = str | list[str]
+
+
+def file_schema(spark: SparkSession, path: Paths, declared: StructType) -> StructType:
     """The header's columns in file order: declared types by (case-insensitive) name, others as strings.
 
     Reads one header line. A declared column that the header lacks is an error.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.option("header", True).csv(path if isinstance(path, str) else path[:1]).columns
     types = {f.name.lower(): f for f in declared.fields}
     missing = sorted(set(types) - {h.lower() for h in header})
     if missing:
@@ -92,8 +106,8 @@ def file_schema(spark: SparkSession, path: str, declared: StructType) -> StructT
     return StructType([types.get(h.lower(), StructField(h, StringType(), True)) for h in header])
 
 
-def read_feed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Headed CSV. With ``schema``: no inference pass; columns are found by header
+def read_feed(spark: SparkSession, path: Paths, schema: StructType | None = None) -> DataFrame:
+    """Headed CSV (a path or a list of files). With ``schema``: no inference pass; columns are found by header
     name in any order and extra ones are dropped. Without: inferred types."""
     reader = spark.read.option("header", True)
     if schema is None:
@@ -109,62 +123,40 @@ def write_feed(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """A table directory by path."""
+def read_table(spark: SparkSession, path: str, fmt: str | None = None, version: int | None = None) -> DataFrame:
+    """A table by path. A table with versions is read at its newest one, or at ``version``."""
+    if (fmt or table_format(spark)) == "parquet":
+        found = commits.version(spark, path, version)
+        if found is not None:
+            return commits.read(spark, path, found)
     return spark.read.format(fmt or table_format(spark)).load(path)
 
 
-def publish(spark: SparkSession, staged: str, path: str) -> None:
-    """Put the complete directory ``staged`` in the place of ``path``.
+def write_version(df: DataFrame, path: str, fmt: str | None = None, mode: str = "overwrite",
+                  label: str = "") -> tuple[int, commits.Version | None]:
+    """S4 + A1: write ``df``; its row count, and for parquet the version it became (see ``commits``).
 
-    The old table is moved aside first and deleted last, so a failure leaves
-    the old or the new one, whole.
+    The count is an ``Observation`` on the write, so the lineage runs once
+    (not once for ``count()`` and again for the write). It is read only after
+    the write succeeded, so a failed write never reports a partial count.
     """
-    new, target, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{staged}-old"))
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    replaces = fs.exists(target)
-    if replaces and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, target):
-        if replaces:
-            fs.rename(old, target)
-        raise OSError(f"cannot move {staged} to {path}")
-    if replaces:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    fmt = fmt or table_format(df.sparkSession)
+    if fmt == "parquet" and mode in ("overwrite", "append"):
+        made = commits.overwrite(df, path, label=label) if mode == "overwrite" else commits.append(df, path, label)
+        return made.added, made
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).save(path)
+    return int(obs.get["rows"]), None
 
 
 def write_table(df: DataFrame, path: str, fmt: str | None = None, mode: str = "overwrite") -> int:
-    """S4 + A1: write ``df`` and return its row count from the same pass.
+    """``write_version`` without the version: the row count."""
+    return write_version(df, path, fmt, mode)[0]
 
-    The count is an ``Observation`` on the write, so the lineage runs once
-    (not once for ``count()`` and again for the write). It is read only after
-    the write succeeded, so a failed write never reports a partial count.
 
-    A parquet overwrite goes to a directory beside the table and is published
-    by renaming, so a failed one leaves the old table as it was. Delta commits
-    by itself.
-    """
-    spark, fmt = df.sparkSession, fmt or table_format(df.sparkSession)
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt)
-    if mode != "overwrite" or fmt == "delta":
-        writer.mode(mode).save(path)
-        return int(obs.get["rows"])
-    parent, name = os.path.split(path.rstrip("/"))
-    staged = os.path.join(parent, f"_staged-{name}-{uuid.uuid4().hex[:12]}")
-    try:
-        writer.save(staged)
-        publish(spark, staged, path)
-    finally:
-        left = spark._jvm.org.apache.hadoop.fs.Path(staged)
-        left.getFileSystem(spark._jsc.hadoopConfiguration()).delete(left, True)
-    return int(obs.get["rows"])
-
-
-def append_rows(spark: SparkSession, rows: list[tuple], schema: StructType, path: str) -> None:
-    """S3 + S5: a literal table of ``rows`` appended as one file."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+def append_rows(spark: SparkSession, rows: list[tuple], schema: StructType, path: str, label: str = "") -> None:
+    """S3 + S5: a literal table of ``rows`` appended as one file, in one atomic step (see ``commits``)."""
+    commits.append(spark.createDataFrame(rows, schema).coalesce(1), path, label)
 
 
 def configure_storage(spark: SparkSession, settings: Mapping[str, str]) -> None:

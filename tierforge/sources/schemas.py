@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -27,6 +28,10 @@ CUSTOMERS_FEED = _schema(
     ("cst_create_date", DateType()),
 )
 
+# The same feed where the creation date has a time of day; two records of one day are then told apart.
+CUSTOMERS_FEED_TIMED = StructType(
+    [StructField(f.name, TimestampType() if f.name == "cst_create_date" else f.dataType, True) for f in CUSTOMERS_FEED])
+
 PRODUCTS_FEED = _schema(
     ("prd_id", LongType()), ("prd_key", StringType()), ("prd_nm", StringType()),
     ("prd_cost", DoubleType()), ("prd_line", StringType()), ("prd_start_dt", DateType()),
@@ -51,8 +56,15 @@ AUDIT = _schema(
     ("task_name", StringType()), ("layer", StringType()), ("status", StringType()),
     ("rows_processed", LongType()), ("start_time", TimestampType()), ("end_time", TimestampType()),
     ("duration_seconds", DoubleType()), ("error_message", StringType()), ("executed_at", TimestampType()),
+    ("rows_rejected", LongType()), ("rejects", StringType()),
 )
 
+# One row per feed record with a value that its declared type does not take.
+QUARANTINE = StructType([
+    StructField("feed", StringType(), True), StructField("record", StringType(), True),
+    StructField("rejected", MapType(StringType(), StringType(), True), True), StructField("run_id", StringType(), True),
+])
+
 FEEDS = {
     "customers": CUSTOMERS_FEED,
     "products": PRODUCTS_FEED,
