@@ -8,6 +8,7 @@ under the same key, with the same output column names.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,11 @@ from tierforge.plans import tables as T
 from tierforge.plans.oracles import AS_OF
 from tierforge.plans.workflow import Workflow, warehouse_tasks, write_feeds
 from tierforge.session import scratch_path
+from tierforge.sources import commits
+from tierforge.sources.inference import feed_report
 from tierforge.sources.io import Layout, read_feed, read_table, write_feed, write_table
-from tierforge.sources.schemas import CUSTOMERS_FEED
+from tierforge.sources.rejects import read_checked
+from tierforge.sources.schemas import CUSTOMERS_FEED, FEEDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +117,108 @@ def scan_csv_infer(spark, sf_dir):
     return inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CUSTOMERS_FEED.fields])
 
 
+def _scan_csv(feed: str) -> Query:
+    def query(spark, sf_dir):
+        """The feed with its columns in reverse order and one more that nobody declared."""
+        path = scratch_path(spark, f"feed-{feed}")
+        raw = X.feeds(spark, sf_dir)[feed].select(*FEEDS[feed].fieldNames())
+        write_feed(raw.select(*reversed(raw.columns), F.lit("extra").alias("undeclared")), path)
+        return read_feed(spark, path, FEEDS[feed])
+
+    return query
+
+
+def _dirty_customers(spark, sf_dir) -> str:
+    path = scratch_path(spark, "feed-dirty")
+    write_feed(X.raw_customers_dirty(_t(spark, sf_dir, "orders")), path)
+    return path
+
+
+def feed_rejects(spark, sf_dir):
+    """Rejected values by column, counted by the write that loads the feed."""
+    found = read_checked(spark, _dirty_customers(spark, sf_dir), CUSTOMERS_FEED)
+    write_table(T.silver_customers(found.rows), scratch_path(spark, "checked"), "parquet")
+    rows = [*found.counts().items(), ("any", found.rows_rejected())]
+    return spark.createDataFrame(rows, "column_name string, n_rejected bigint")
+
+
+def feed_quarantine(spark, sf_dir):
+    """The rejected values themselves, from the quarantine table of a run."""
+    layout = Layout(scratch_path(spark, "quarantine"), {"customers": _dirty_customers(spark, sf_dir)})
+    tasks = [t for t in warehouse_tasks(as_of=AS_OF) if t.output == "silver_customers"]
+    Workflow(tasks, layout).run(spark, "first")
+    kept = read_table(spark, layout.quarantine(), "parquet")
+    return kept.select("feed", "run_id", F.explode("rejected").alias("column_name", "value"))
+
+
+def feed_types(spark, sf_dir):
+    """Inferred types of all six feeds beside the declared ones; one scan of each."""
+    layout = Layout(scratch_path(spark, "types"))
+    write_feeds(X.feeds(spark, sf_dir), layout)
+    reports = [feed_report(spark, layout.feed(f), schema).select(F.lit(f).alias("feed"), "*") for f, schema in FEEDS.items()]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    # line numbers are in the feed only, not in its declared schema
+    return out.where("drift <> 'new'").drop("position")
+
+
+def table_history(spark, sf_dir):
+    """Three versions of one table, all still readable: some rows, all rows, some appended again."""
+    path = scratch_path(spark, "history")
+    cats = silver_categories(spark, sf_dir)
+    promo = cats.where(F.col("cat") == "PROMO")
+    made = [commits.overwrite(promo, path), commits.overwrite(cats, path), commits.append(promo, path)]
+    rows = [read_table(spark, path, "parquet", version=v.number).select(F.lit(v.number).cast("bigint").alias("version"), "*") for v in made]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def pinned_run(spark, sf_dir):
+    """The customer dimension of a run during which somebody else overwrites its inputs."""
+    layout = Layout(scratch_path(spark, "pinned"))
+    write_feeds({k: v for k, v in X.feeds(spark, sf_dir).items() if k in ("customers", "erp_customers", "erp_locations")}, layout)
+
+    def disturbed(task):
+        def build(*inputs):
+            for name in task.upstream():
+                commits.overwrite(read_table(spark, layout.table(name), "parquet").limit(1), layout.table(name))
+            return task.build(*inputs)
+
+        return replace(task, build=build)
+
+    tasks = [t for t in warehouse_tasks(as_of=AS_OF) if t.output in
+             ("silver_customers", "silver_erp_customers", "silver_erp_locations", "dim_customers")]
+    Workflow([disturbed(t) if t.output == "dim_customers" else t for t in tasks], layout).run(spark)
+    return read_table(spark, layout.table("dim_customers"), "parquet")
+
+
+def resumed_run(spark, sf_dir):
+    """The audit log of a run whose category feed came late: the rerun does only what had failed or been skipped."""
+    layout = Layout(scratch_path(spark, "resumed"))
+    feeds = X.feeds(spark, sf_dir)
+    write_feeds({k: v for k, v in feeds.items() if k != "categories"}, layout)
+    Workflow(warehouse_tasks(as_of=AS_OF), layout).run(spark, "nightly")
+    write_feeds({"categories": feeds["categories"]}, layout)
+    Workflow(warehouse_tasks(as_of=AS_OF), layout).run(spark, "nightly")
+    return read_table(spark, layout.audit(), "parquet").select("task_name", "layer", "status", "rows_processed")
+
+
+def audit_compacted(spark, sf_dir):
+    """The audit log of two runs after its files were rewritten as one."""
+    layout = Layout(scratch_path(spark, "compacted"))
+    write_feeds(X.feeds(spark, sf_dir), layout)
+    tasks = [t for t in warehouse_tasks(as_of=AS_OF) if t.layer == "silver"]
+    for _ in range(2):
+        Workflow(tasks, layout).run(spark)
+    commits.compact(spark, layout.audit())
+    return read_table(spark, layout.audit(), "parquet").select("task_name", "layer", "status", "rows_processed")
+
+
+def silver_sales_money(spark, sf_dir):
+    """T3 over fractional amounts and prices."""
+    return T.silver_sales(X.raw_sales_money(_raw_sales(spark, sf_dir)))
+
+
 def overwrite_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "overwrite")
     cats = silver_categories(spark, sf_dir)
@@ -303,6 +409,15 @@ def queries() -> dict[str, Query]:
         "scan_project": scan_project,
         "scan_csv_explicit": scan_csv_explicit,
         "scan_csv_infer": scan_csv_infer,
+        **{f"scan_csv_{feed}": _scan_csv(feed) for feed in FEEDS if feed != "customers"},
+        "feed_rejects": feed_rejects,
+        "feed_quarantine": feed_quarantine,
+        "feed_types": feed_types,
+        "table_history": table_history,
+        "pinned_run": pinned_run,
+        "resumed_run": resumed_run,
+        "audit_compacted": audit_compacted,
+        "silver_sales_money": silver_sales_money,
         "overwrite_roundtrip": overwrite_roundtrip,
         "filter_positive_id": filter_positive_id,
         "keep_latest": keep_latest_q,

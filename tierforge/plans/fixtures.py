@@ -35,9 +35,9 @@ def _ymd(ts: Column) -> Column:
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
 
 
-def raw_customers(orders: DataFrame) -> DataFrame:
+def _customer_columns() -> list[Column]:
     k = F.col("o_orderkey")
-    return orders.select(
+    return [
         F.when(k % 97 == 0, F.lit(None)).otherwise(F.col("o_custkey") - 3).alias("cst_id"),
         _padded_key(F.col("o_custkey"), "AW").alias("cst_key"),
         F.concat(F.lit("  "), F.col("o_orderpriority"), F.lit(" ")).alias("cst_firstname"),
@@ -46,7 +46,11 @@ def raw_customers(orders: DataFrame) -> DataFrame:
         _case(k % 4, {0: "f ", 1: " M", 2: None}, "").alias("cst_gndr"),
         F.when(k % 89 == 0, F.lit(None).cast("date"))
          .otherwise(F.to_date(F.date_trunc("month", F.col("o_orderdate")))).alias("cst_create_date"),
-    )
+    ]
+
+
+def raw_customers(orders: DataFrame) -> DataFrame:
+    return orders.select(*_customer_columns())
 
 
 def _product_key(sep: str) -> Column:
@@ -90,6 +94,22 @@ def raw_sales(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFr
     )
 
 
+def raw_sales_money(sales: DataFrame) -> DataFrame:
+    """The sales feed with fractional amounts and prices."""
+    return sales.withColumns({c: F.col(c).cast("double") * F.lit(1.15) for c in ("sls_sales", "sls_price")})
+
+
+def raw_customers_dirty(orders: DataFrame) -> DataFrame:
+    """The customers feed as strings; some ids and creation dates are not values of their types."""
+    k = F.col("o_orderkey")
+    text = orders.select("o_orderkey", *_customer_columns()).withColumns(
+        {c: F.col(c).cast("string") for c in ("cst_id", "cst_create_date")})
+    return text.withColumns({
+        "cst_id": F.when(k % 31 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise(F.col("cst_id")),
+        "cst_create_date": F.when(k % 37 == 0, F.concat(F.lit("2020-13-"), k.cast("string"))).otherwise(F.col("cst_create_date")),
+    }).drop("o_orderkey")
+
+
 def raw_erp_customers(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
     # Every 19th customer has an id that matches none, so the lookups have misses.

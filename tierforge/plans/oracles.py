@@ -164,8 +164,73 @@ FAILED_RUN_ROWS = """select * from (values
 ) as t(task_name, layer, status, rows_processed)"""
 
 
+RESUMED_ROWS = f"""{FAILED_RUN_ROWS} union all select * from (values
+ ('silver.erp_px_cat_g1v2', 'silver', 'SUCCESS', (select count(*) from silver_cat)),
+ ('gold.dim_products', 'gold', 'SUCCESS', (select count(*) from dim_prd)),
+ ('gold.fact_sales', 'gold', 'SUCCESS', (select count(*) from fact))
+) as t(task_name, layer, status, rows_processed)"""
+
+RAW_MONEY = """raw_money as (select * replace (cast(sls_sales as double) * cast(1.15 as double) as sls_sales,
+ cast(sls_price as double) * cast(1.15 as double) as sls_price) from raw_sales)"""
+
+# Feed -> (CTEs, relation, columns with declared and expected inferred types).
+FEED_TYPES = {
+    "customers": ((RAW_CUST,), "raw_cust", "cst_id bigint int, cst_key string string, cst_firstname string string, "
+                  "cst_lastname string string, cst_marital_status string string, cst_gndr string string, "
+                  "cst_create_date date date"),
+    "products": ((RAW_PRD,), "raw_prd", "prd_id bigint int, prd_key string string, prd_nm string string, "
+                 "prd_cost double double, prd_line string string, prd_start_dt date date"),
+    "sales": ((RAW_SALES,), "raw_sales", "sls_ord_num string string, sls_prd_key string string, sls_cust_id bigint int, "
+              "sls_order_dt int int, sls_ship_dt int int, sls_due_dt int int, sls_sales double int, "
+              "sls_quantity int int, sls_price double int"),
+    "erp_customers": ((RAW_ERP_CUST,), "raw_erp_cust", "CID string string, BDATE date date, gen string string"),
+    "erp_locations": ((RAW_ERP_LOC,), "raw_erp_loc", "CID string string, CNTRY string string"),
+    "categories": ((RAW_CAT,), "raw_cat", "ID string string, CAT string string, SUBCAT string string, MAINTENANCE string string"),
+}
+
+
+def _feed_types() -> str:
+    ctes, selects = [], []
+    for feed, (chain, relation, columns) in FEED_TYPES.items():
+        ctes += chain
+        for column in columns.split(", "):
+            name, declared, inferred = column.split()
+            drift = "same" if declared == inferred else "narrower"
+            selects.append(f"select '{feed}' as feed, '{name}' as column_name, '{declared}' as declared, '{inferred}' as inferred, "
+                           f"count(*) as n_rows, count(*) filter (coalesce(cast({name} as varchar), '') = '') as n_null, "
+                           f"cast(0 as bigint) as n_unfit, '{drift}' as drift from {relation}")
+    return _with(*ctes, body="\nunion all ".join(selects))
+
+
+def _scans(q: dict[str, str]) -> None:
+    for feed, (chain, relation, columns) in FEED_TYPES.items():
+        kinds = {"bigint": "bigint", "int": "integer", "double": "double", "date": "date"}
+        parts = []
+        for column in columns.split(", "):
+            name, declared, _ = column.split()
+            parts.append(f"nullif({name}, '') as {name}" if declared == "string" else f"cast({name} as {kinds[declared]}) as {name}")
+        if feed != "customers":
+            q[f"scan_csv_{feed}"] = _with(*chain, body=f"select {', '.join(parts)} from {relation}")
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    _scans(q)
+    q["feed_types"] = _feed_types()
+    q["feed_rejects"] = ("select 'cst_id' as column_name, count(*) filter (o_orderkey % 31 = 0) as n_rejected from orders "
+                         "union all select 'cst_create_date', count(*) filter (o_orderkey % 37 = 0) from orders "
+                         "union all select 'any', count(*) filter (o_orderkey % 31 = 0 or o_orderkey % 37 = 0) from orders")
+    q["feed_quarantine"] = ("select 'customers' as feed, 'first' as run_id, 'cst_id' as column_name, concat('x', o_orderkey) as value "
+                            "from orders where o_orderkey % 31 = 0 union all select 'customers', 'first', 'cst_create_date', "
+                            "concat('2020-13-', o_orderkey) from orders where o_orderkey % 37 = 0")
+    q["table_history"] = _with(RAW_CAT, SILVER_CAT, body="select cast(1 as bigint) as version, * from silver_cat where cat = 'PROMO' "
+                               "union all select 2, * from silver_cat union all select 3, * from silver_cat "
+                               "union all select 3, * from silver_cat where cat = 'PROMO'")
+    q["pinned_run"] = _with(*CUST_CHAIN, body="select * from dim_cust")
+    q["resumed_run"] = _with(*ALL_TABLES, body=RESUMED_ROWS)
+    q["audit_compacted"] = _with(*ALL_TABLES, body=f"select a.* from ({AUDIT_ROWS}) a, range(2) where layer = 'silver'")
+    q["silver_sales_money"] = _with(RAW_SALES, RAW_MONEY, SILVER_SALES.replace("from raw_sales", "from raw_money"),
+                                    body="select * from silver_sales")
     q["scan_project"] = "select p_partkey, p_name, p_type from part"
     q["scan_csv_explicit"] = _with(RAW_CUST, body="select cst_id, cst_key, cst_firstname, cst_lastname, "
                                    "nullif(cst_marital_status, '') as cst_marital_status, "

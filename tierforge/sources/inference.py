@@ -49,14 +49,16 @@ def value_class(v: Column) -> Column:
             .otherwise("string"))
 
 
-def _least_type(n: dict[str, Column], digits: Column) -> Column:
-    def only(*classes: str) -> Column:
-        return reduce(lambda a, b: a & b, [n[c] == 0 for c in CLASSES if c not in classes])
+def _only(*classes: str) -> Column:
+    """No values but of these classes (over count columns named like them)."""
+    return reduce(lambda a, b: a & b, [F.col(c) == 0 for c in CLASSES if c not in classes], F.lit(True))
 
-    return (F.when(only(), "string").when(only("int"), "int").when(only("int", "bigint"), "bigint")
-            .when(only("int", "bigint", "decimal"), F.format_string("decimal(%d,0)", digits))
-            .when(only(*_NUMBERS), "double").when(only("date"), "date").when(only("date", "timestamp"), "timestamp")
-            .when(only("boolean"), "boolean").otherwise("string"))
+
+def _least_type() -> Column:
+    return (F.when(_only(), "string").when(_only("int"), "int").when(_only("int", "bigint"), "bigint")
+            .when(_only("int", "bigint", "decimal"), F.format_string("decimal(%d,0)", F.greatest("digits", F.lit(1))))
+            .when(_only(*_NUMBERS), "double").when(_only("date"), "date").when(_only("date", "timestamp"), "timestamp")
+            .when(_only("boolean"), "boolean").otherwise("string"))
 
 
 def column_report(strings: DataFrame, declared: StructType | None = None) -> DataFrame:
@@ -67,33 +69,36 @@ def column_report(strings: DataFrame, declared: StructType | None = None) -> Dat
     """
     types = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in declared or []}
     columns = strings.columns
-    classed = strings.select(*[F.struct(value_class(F.col(f"`{c}`")).alias("c"),
-                                        F.length(F.regexp_replace(f"`{c}`", r"^[+-]?0*", "")).alias("d")).alias(f"v{i}")
-                               for i, c in enumerate(columns)])
-    counts = [F.count(F.lit(1)).alias("rows")]
-    for i in range(len(columns)):
-        counts += [F.count_if(F.col(f"v{i}.c") == k).alias(f"{k}{i}") for k in CLASSES]
-        counts.append(F.max(F.when(F.col(f"v{i}.c").isin("int", "bigint", "decimal"), F.col(f"v{i}.d"))).alias(f"digits{i}"))
-    rows = []
-    for i, c in enumerate(columns):
-        n = {k: F.col(f"{k}{i}") for k in CLASSES}
-        known = reduce(lambda a, b: a + b, n.values())
-        name, kind = types.get(c.lower(), (c, None))
-        takes = TAKES.get(kind, CLASSES) if kind else CLASSES
-        unfit = reduce(lambda a, b: a + b, [n[k] for k in CLASSES if k not in takes], F.lit(0).cast("bigint"))
-        inferred = _least_type(n, F.greatest(F.col(f"digits{i}"), F.lit(1)))
-        timed = n["timestamp"] if kind == "date" else F.lit(0)
-        drift = (F.lit("new") if kind is None else
-                 F.when(unfit > 0, "differs").when(timed > 0, "wider").when(known == 0, "empty")
-                 .when(inferred == kind, "same").otherwise("narrower"))
-        rows.append(F.struct(F.lit(i).alias("position"), F.lit(name).alias("column_name"), F.lit(kind).cast("string").alias("declared"),
-                             inferred.alias("inferred"), F.col("rows").alias("n_rows"), (F.col("rows") - known).alias("n_null"),
-                             unfit.alias("n_unfit"), drift.alias("drift")))
-    gone = sorted(set(types) - {c.lower() for c in columns})
-    rows += [F.struct(F.lit(None).cast("int").alias("position"), F.lit(types[c][0]).alias("column_name"), F.lit(types[c][1]).alias("declared"),
-                      F.lit(None).cast("string").alias("inferred"), F.col("rows").alias("n_rows"), F.col("rows").alias("n_null"),
-                      F.lit(0).cast("bigint").alias("n_unfit"), F.lit("missing").alias("drift")) for c in gone]
-    return classed.agg(*counts).select(F.inline(F.array(*rows)))
+    # one value to a row, so that there is one classing expression however many columns there are
+    values = strings.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in columns])).alias("i", "v"))
+    classed = values.select("i", value_class(F.col("v")).alias("c"), F.length(F.regexp_replace("v", r"^[+-]?0*", "")).alias("d"))
+    counts = classed.groupBy("i").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("c") == k).alias(k) for k in CLASSES],
+        F.max(F.when(F.col("c").isin("int", "bigint", "decimal"), F.col("d"))).alias("digits"))
+    # one row per column so far; an empty feed has none
+    found = counts.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("rows", *CLASSES, "digits")))).alias("m"),
+                       F.coalesce(F.max("rows"), F.lit(0)).alias("rows"))
+    # names and declared types of the columns, those that only the declaration has last
+    known = [(i, *types.get(c.lower(), (c, None))) for i, c in enumerate(columns)]
+    known += [(None, *types[c]) for c in sorted(set(types) - {c.lower() for c in columns})]
+    named = F.array(*[F.struct(F.lit(i).cast("int").alias("position"), F.lit(name).alias("column_name"),
+                               F.lit(kind).cast("string").alias("declared")) for i, name, kind in known])
+    listed = found.select("rows", "m", F.inline(named)).select(
+        "*", F.try_element_at("m", F.col("position")).alias("n"))
+    counted = listed.select("position", "column_name", "declared", F.col("rows").alias("n_rows"), F.col("n.digits").alias("digits"),
+                            *[F.coalesce(F.col(f"n.{k}"), F.lit(0)).alias(k) for k in CLASSES])
+    values = reduce(lambda a, b: a + b, [F.col(k) for k in CLASSES])
+    fits = F.lit(0).cast("bigint")
+    for k in CLASSES:
+        takers = [t for t, classes in TAKES.items() if k in classes]
+        # a type that is not listed is not judged
+        fits = fits + F.when(F.col("declared").isNull() | F.col("declared").isin(*takers) | ~F.col("declared").isin(*TAKES), F.col(k)).otherwise(0)
+    judged = counted.select("*", (F.col("n_rows") - values).alias("n_null"), (values - fits).alias("n_unfit"), _least_type().alias("least"))
+    drift = (F.when(F.col("position").isNull(), "missing").when(F.col("declared").isNull(), "new")
+             .when(F.col("n_unfit") > 0, "differs").when((F.col("declared") == "date") & (F.col("timestamp") > 0), "wider")
+             .when(F.col("n_rows") == F.col("n_null"), "empty").when(F.col("least") == F.col("declared"), "same").otherwise("narrower"))
+    return judged.select("position", "column_name", "declared", F.when(F.col("position").isNotNull(), F.col("least")).alias("inferred"),
+                         "n_rows", "n_null", "n_unfit", drift.alias("drift"))
 
 
 def read_strings(spark: SparkSession, path: Paths) -> DataFrame:
