@@ -107,8 +107,9 @@ def test_surrogate_key_ranged_plan_has_no_single_partition(spark):
     ranged = surrogate_key(df, ["b", "id"], "key", method="ranged", rows_per_bucket=500)
     plan = ranged._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
-    glob = surrogate_key(df, ["b", "id"], "key", method="global")
-    assert "SinglePartition" in glob._jdf.queryExecution().executedPlan().toString()
+    glob = surrogate_key(df, ["b", "id"], "key", method="global")       # the older name numbers the same way
+    assert "SinglePartition" not in glob._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.key for r in glob.collect()) == list(range(1, 5001))
 
 
 def test_surrogate_key_auto_numbers_from_one(spark):

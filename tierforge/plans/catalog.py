@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tierforge.functions import clean as C
 from tierforge.operators.keys import surrogate_key
+from tierforge.operators.lookup_audit import audited_lookup
+from tierforge.operators.registry import register, registered_key
 from tierforge.operators.star import lookup
 from tierforge.operators.versions import current_only, end_date_versions, keep_latest
 from tierforge.plans import fixtures as X
@@ -27,6 +29,7 @@ from tierforge.sources.inference import feed_report
 from tierforge.sources.io import Layout, read_feed, read_table, write_feed, write_table
 from tierforge.sources.rejects import read_checked
 from tierforge.sources.schemas import CUSTOMERS_FEED, FEEDS
+from tierforge.streaming import touched
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,6 +389,50 @@ def _keyed_customers(spark, sf_dir, **kw):
     return surrogate_key(rows, ["cst_id", "cst_lastname"], "customer_key", **kw)
 
 
+def dim_products_repeated(spark, sf_dir):
+    """T8 over categories that occur twice: the keys still have one order."""
+    cats = silver_categories(spark, sf_dir)
+    twice = cats.unionByName(cats.withColumns({"subcat": F.concat("subcat", F.lit("2")), "maintenance": F.lit("No")}))
+    return T.dim_products(silver_product_versions(spark, sf_dir), twice)
+
+
+def registered_keys(spark, sf_dir):
+    """Customer keys of two loads: even ids first, then everybody; the first ones keep theirs."""
+    path = scratch_path(spark, "registry")
+    rows = silver_customers(spark, sf_dir).select("cst_id", "cst_lastname")
+    member = ["cst_id", "cst_lastname"]
+    register(rows.where(F.col("cst_id") % 2 == 0), member, "customer_key", path)
+    return registered_key(rows, member, "customer_key", path)
+
+
+def lookup_audit(spark, sf_dir):
+    """Matches, misses and fan-out of the five lookups, counted on the rows they write."""
+    customers, products = silver_customers(spark, sf_dir), silver_product_versions(spark, sf_dir)
+    sales = silver_sales(spark, sf_dir)
+    audits = []
+    for name, left, right, on, take, normalize in (
+            ("J1", customers, silver_erp_customers(spark, sf_dir), ("cst_key", "cid"), {"gen": "erp_gen"}, None),
+            ("J2", customers, silver_erp_locations(spark, sf_dir), ("cst_key", "cid"), {"cntry": "erp_cntry"}, None),
+            ("J3", products, silver_categories(spark, sf_dir), ("cat_id", "id"), {"cat": "category"}, None),
+            ("J4", sales, products, ("sls_prd_key", "prd_key"), {"prd_id": "prd_id"}, C.trim_spaces),
+            ("J5", sales, customers, ("sls_cust_id", "cst_id"), {"cst_key": "cst_key"}, None)):
+        joined, audit = audited_lookup(left, right, on, take, name, normalize)
+        write_table(joined, scratch_path(spark, f"audited-{name}"), "parquet")
+        audits.append((name, *audit.counts().values()))
+    return spark.createDataFrame(audits, "lookup string, left_rows bigint, matched bigint, missed bigint, null_keys bigint, fan_out bigint")
+
+
+def _touched(table: str, raw: Callable, order: str) -> Query:
+    def query(spark, sf_dir):
+        """The feed in three increments, each refreshing only the keys it touches."""
+        root, rows = scratch_path(spark, f"touched-{table}"), raw(spark, sf_dir)
+        for part in range(3):
+            touched.refresh(spark, root, table, rows.where(F.pmod(F.xxhash64(order), F.lit(3)) == part), buckets=16)
+        return touched.current(spark, root)
+
+    return query
+
+
 def surrogate_key_global(spark, sf_dir):
     return _keyed_customers(spark, sf_dir, method="global")
 
@@ -418,6 +465,11 @@ def queries() -> dict[str, Query]:
         "resumed_run": resumed_run,
         "audit_compacted": audit_compacted,
         "silver_sales_money": silver_sales_money,
+        "dim_products_repeated": dim_products_repeated,
+        "registered_keys": registered_keys,
+        "lookup_audit": lookup_audit,
+        "silver_customers_touched": _touched("silver_customers", _raw_cust, "cst_lastname"),
+        "product_versions_touched": _touched("silver_product_versions", _raw_prd, "prd_id"),
         "overwrite_roundtrip": overwrite_roundtrip,
         "filter_positive_id": filter_positive_id,
         "keep_latest": keep_latest_q,

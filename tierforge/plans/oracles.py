@@ -118,7 +118,9 @@ DIM_CUST = """dim_cust as (select cast(row_number() over (order by ci.cst_id asc
  from silver_cust ci left join silver_erp_cust cb on ci.cst_key = cb.cid left join silver_erp_loc cl on ci.cst_key = cl.cid)"""
 
 DIM_PRD = """dim_prd as (select cast(row_number() over (order by pm.prd_start_dt asc nulls first,
-  pm.prd_id asc nulls first) as bigint) as product_key,
+  pm.prd_id asc nulls first, pm.prd_key asc nulls first, pm.prd_nm asc nulls first, pm.cat_id asc nulls first,
+  pc.cat asc nulls first, pc.subcat asc nulls first, pc.maintenance asc nulls first, pm.prd_cost asc nulls first,
+  pm.prd_line asc nulls first) as bigint) as product_key,
  pm.prd_id as product_id, pm.prd_key as product_number, pm.prd_nm as product_name, pm.cat_id as category_id,
  pc.cat as category, pc.subcat as sub_category, pc.maintenance as maintenance, pm.prd_cost as cost,
  pm.prd_line as product_line, pm.prd_start_dt as start_date
@@ -226,6 +228,23 @@ def oracles() -> dict[str, str]:
     q["table_history"] = _with(RAW_CAT, SILVER_CAT, body="select cast(1 as bigint) as version, * from silver_cat where cat = 'PROMO' "
                                "union all select 2, * from silver_cat union all select 3, * from silver_cat "
                                "union all select 3, * from silver_cat where cat = 'PROMO'")
+    # every category twice, with other attributes the second time
+    q["dim_products_repeated"] = _with(*[c if c != SILVER_CAT else SILVER_CAT.replace("from raw_cat)", "from raw_cat union all "
+                                         "select ID, CAT, concat(SUBCAT, '2'), 'No' from raw_cat)") for c in PRD_CHAIN],
+                                       body="select * from dim_prd")
+    q["silver_customers_touched"] = _with(RAW_CUST, SILVER_CUST, body="select * from silver_cust")
+    q["product_versions_touched"] = _with(RAW_PRD, PRD_DATED, SILVER_PRD, body="select * from silver_prd")
+    q["registered_keys"] = _with(RAW_CUST, SILVER_CUST, body="""select cast(row_number() over (order by cst_id % 2,
+ cst_id asc nulls first, cst_lastname asc nulls first) as bigint) as customer_key, cst_id, cst_lastname from silver_cust""")
+    counts = ("(select '{0}' as lookup, count(*) as left_rows, count(*) filter (n > 0) as matched, count(*) filter (n = 0) as missed, "
+              "count(*) filter (k is null) as null_keys, coalesce(sum(greatest(n, 1) - 1), 0)::bigint as fan_out from "
+              "(select l.k, (select count(*) from ({2}) r where r.k = l.k) as n from ({1}) l))")
+    q["lookup_audit"] = _with(*ALL_TABLES, body=" union all ".join("select * from " + counts.format(*c) for c in (
+        ("J1", "select cst_key as k from silver_cust", "select cid as k from silver_erp_cust"),
+        ("J2", "select cst_key as k from silver_cust", "select cid as k from silver_erp_loc"),
+        ("J3", "select cat_id as k from silver_prd", "select id as k from silver_cat"),
+        ("J4", "select trim(sls_prd_key, ' ') as k from silver_sales", "select trim(prd_key, ' ') as k from silver_prd"),
+        ("J5", "select sls_cust_id as k from silver_sales", "select cst_id as k from silver_cust"))))
     q["pinned_run"] = _with(*CUST_CHAIN, body="select * from dim_cust")
     q["resumed_run"] = _with(*ALL_TABLES, body=RESUMED_ROWS)
     q["audit_compacted"] = _with(*ALL_TABLES, body=f"select a.* from ({AUDIT_ROWS}) a, range(2) where layer = 'silver'")

@@ -28,11 +28,12 @@ def silver_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_product_versions(raw: DataFrame) -> DataFrame:
+def silver_product_versions(raw: DataFrame, raw_key: str | None = None) -> DataFrame:
     """Split the composite key, decode the line, end-date versions.
 
     Versions are keyed on the *full* raw key (the short product number is an
-    output column only); equal start dates are ordered by ``prd_id``.
+    output column only); equal start dates are ordered by ``prd_id``. With
+    ``raw_key`` the full key is put out too, under that name.
     """
     dated = end_date_versions(raw, "prd_key", "prd_start_dt", tie_breaker=["prd_id"], name="prd_end_days")
     return dated.select(
@@ -42,6 +43,7 @@ def silver_product_versions(raw: DataFrame) -> DataFrame:
         "prd_nm", "prd_cost",
         C.decode_product_line("prd_line").alias("prd_line"),
         "prd_start_dt", "prd_end_days",
+        *([F.col("prd_key").alias(raw_key)] if raw_key else []),
     )
 
 
@@ -110,7 +112,9 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
 def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "ranged") -> DataFrame:
     """Current product versions + category attributes, numbered by (start, id).
 
-    The current-version filter runs before the join and before numbering.
+    The current-version filter runs before the join and before numbering. An id
+    or a category that occurs twice ties on (start, id); then the remaining
+    columns decide, so that keys don't depend on the run.
     """
     current = current_only(versions, "prd_end_days")
     j = lookup(current, categories, ("cat_id", "id"),
@@ -125,7 +129,8 @@ def dim_products(versions: DataFrame, categories: DataFrame, key_method: str = "
         F.col("prd_line").alias("product_line"),
         F.col("prd_start_dt").alias("start_date"),
     )
-    return surrogate_key(rows, ["start_date", "product_id"], "product_key", method=key_method)
+    order = ["start_date", "product_id", *[c for c in rows.columns if c not in ("start_date", "product_id")]]
+    return surrogate_key(rows, order, "product_key", method=key_method)
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
