@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +41,27 @@ def ship(spark: SparkSession) -> None:
     sc._tierforge_shipped = True
 
 
+def release() -> None:
+    """Give back to the system what this Python worker no longer uses (workers outlive their tasks)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def frugal(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A mapInArrow function that releases its memory when the task ends."""
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row (bound as a lambda variable)."""
     return F.element_at(F.transform(F.array(value), body), 1)

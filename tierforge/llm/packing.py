@@ -28,8 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import ship
-from tierforge.llm.tokens import encoded, cut, slices
+from tierforge.llm.common import frugal, ship
+from tierforge.llm.tokens import cut, encoded, letters, slices, spelled, words
 
 MAX_LENGTH = 2048
 TIERS = (2048, 1024, 512, 256)
@@ -164,12 +164,10 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     end = np.array([END], dtype="<u4").tobytes()
 
-    def as_bytes(ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(TaskContext.get().partitionId() << 32)
         id_type = None
+        apart = letters(path) is not None
 
         def table(found: list[list]) -> pa.RecordBatch:
             columns = list(zip(*found)) if found else [()] * (1 + len(FIELDS))
@@ -181,13 +179,14 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
             id_type = ids.type
             for lo, hi in slices(column):
                 names = ids.slice(lo, hi - lo).to_pylist()
-                pieces = [cut(t) if t else [] for t in column.slice(lo, hi - lo).to_pylist()]
-                known = encoded(path, "ids", pieces, as_bytes)
+                texts = column.slice(lo, hi - lo).to_pylist()
+                pieces = [(words(path, t) if apart else cut(t)) if t else [] for t in texts]
+                known = encoded(path, pieces)
                 for name, p in zip(names, pieces):
-                    packer.add(name, b"".join(map(known.__getitem__, p)) + end)
+                    packer.add(name, spelled(known, p) + end)
                 if packer.tokens >= GROUP_TOKENS:
                     yield table(packer.emit(last=False))
         if id_type is not None:
             yield table(packer.emit(last=True))
 
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{f} bigint" for f in FIELDS))
+    return rows.mapInArrow(frugal(run), f"doc_id {kind}, " + ", ".join(f"{f} bigint" for f in FIELDS))

@@ -9,7 +9,14 @@ change the tokens on the other. If an overlap holds no such boundary, the
 left chunk is extended and the overlap doubled, in the end to the whole rest.
 
 A document that is encoded at once is cut at the same stable places, and each
-distinct piece is encoded once per worker (a bounded cache of two generations).
+distinct piece is encoded once per worker, as long as a cache of two
+generations of CACHE_BYTES holds it.
+
+Tokenizers that fold case and put words, digits and punctuation into tokens of
+their own (``words_apart``) are cut finer: into words, small letters, apart
+from punctuation. That holds for texts of plain Latin letters; others are cut
+at spaces as above. A distinct word of letters goes straight to the
+tokenizer's model: normal form and pre-tokens have nothing left to do.
 
 Defined cases: a null or empty text has no tokens and no bytes; repeated rows
 give repeated results; other columns may be null or bear any name; an empty
@@ -18,9 +25,13 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +39,51 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import ship
+from tierforge.llm.common import frugal, ship
 
 CHUNK, OVERLAP = 32_768, 512      # characters
 LIMIT = 1024                      # tokens; more are over the limit
-CACHE_PIECES = 600_000            # distinct pieces of one generation; a worker remembers two
-SLICE_BYTES = 4 << 20             # text that is worked on at once
+CACHE_BYTES = 64 << 20            # of one generation of encoded pieces; a worker remembers two
+ENTRY_BYTES = 230                 # of a cache entry besides its characters and ids
+SLICE_BYTES = 2 << 20             # text that is worked on at once
 
 # Begins a piece whatever stands around it (white space here includes all that the tokenizers call so).
 _STABLE = re.compile(r"(?<=\S)(?= \S)")
 
 _TOKENIZERS: dict[str, object] = {}
-_CACHES: dict[tuple[str, str], tuple[dict[str, object], dict[str, object]]] = {}
+_LETTERS: dict[str, dict[int, str] | None] = {}
+_CACHES: dict[str, _Cache] = {}
+
+# Fixed value: the pattern by which such tokenizers part their text.
+_WORDS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Letters and digits below U+0250, as a character class.
+_ALNUM = "".join(f"{chr(c)}" for c in range(0x250) if chr(c).isalnum())
+# A run of letters and digits, with an apostrophe if one stands alone before it; a run of other visible characters.
+_FINE = re.compile(rf"[{_ALNUM}]+|'[{_ALNUM}]+|[^\s{_ALNUM}]+")
+# Outside of these, letters, white space or normal forms may be judged otherwise by the tokenizer.
+_PLAIN = re.compile("[\\t-\\r -~\xa1-\xac\xae-įı-ɏ‐-‧€]*")
+
+
+class _Cache:
+    """Ids of pieces (four bytes each) in two generations; a full one becomes the old one, pieces still in use move on from it."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Pieces to be encoded, after those known were made young."""
+        fresh = wanted.difference(self.young)
+        if self.bytes > CACHE_BYTES:
+            self.young, self.old, self.bytes, fresh = {}, self.young, 0, wanted
+        known = list(fresh.intersection(self.old))
+        self.put(known, list(map(self.old.__getitem__, known)))
+        return list(fresh.difference(known))
+
+    def put(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.young.update(zip(pieces, ids))
+        self.bytes += ENTRY_BYTES * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
 
 
 def tokenizer(path: str):
@@ -55,30 +99,62 @@ def tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def letters(path: str) -> dict[int, str] | None:
+    """How the tokenizer's model spells letters, if the tokenizer keeps ``words_apart``; else None."""
+    if path not in _LETTERS:
+        t = tokenizer(path)
+        made = json.loads(t.to_str())
+        normal = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        first, *rest = (made["pre_tokenizer"] or {}).get("pretokenizers", []) or [{}]
+        apart = (normal == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": _WORDS_APART}
+                 and first.get("invert") and [(p["type"], p.get("use_regex"), p.get("add_prefix_space")) for p in rest]
+                 == [("ByteLevel", False, False)] and made["model"]["type"] == "BPE")
+        _LETTERS[path] = {ord(c): t.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in _ALNUM if c.isalpha()} if apart else None
+    return _LETTERS[path]
+
+
 def cut(text: str) -> list[str]:
     """``text`` in pieces that tokenise independently; joined they give it back."""
     return _STABLE.split(text) if text else []
 
 
-def encoded(path: str, name: str, texts: Iterable[list[str]], value: Callable[[list[int]], object]) -> dict[str, object]:
-    """A table with ``value(ids)`` of every piece in ``texts`` (lists of pieces).
-
-    A full generation becomes the old one; pieces still in use move on from it.
-    """
-    young, old = _CACHES.get((path, name), ({}, {}))
-    wanted = set().union(*texts)
-    fresh = wanted.difference(young)
-    if len(young) + len(fresh) > CACHE_PIECES:
-        young, old, fresh = {}, young, wanted
-    _CACHES[(path, name)] = (young, old)
-    known = fresh.intersection(old)
-    young.update((piece, old[piece]) for piece in known)
-    todo = list(fresh.difference(known))
+@lru_cache
+def _added(path: str) -> list[str]:
+    """Texts that the tokenizer takes as one token wherever they stand."""
+    return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
+
+
+def words(path: str, text: str) -> list[str]:
+    """``text`` in words that tokenise independently, for ``words_apart``; white space between them is left out."""
+    if not text:
+        return []
+    if _PLAIN.fullmatch(text) is None or any(t in text for t in _added(path)):
+        return cut(text)
+    return _FINE.findall(text.lower())
+
+
+def encoded(path: str, texts: Iterable[list[str]]) -> dict[str, bytes]:
+    """A table with the ids (little-endian, four bytes each) of every piece in ``texts`` (lists of pieces)."""
+    cache, t = _CACHES.setdefault(path, _Cache()), tokenizer(path)
+    todo, spelling = cache.missing(set().union(*texts)), letters(path)
+    if spelling is not None:
+        # words of small letters only, all below U+0250
+        tokenize, alone, others = t.model.tokenize, [], []
+        for w in todo:
+            (alone if w.isalpha() and w.islower() and (w.isascii() or max(w) < "\u0250") else others).append(w)
+        cache.put(alone, [array("I", [x.id for x in tokenize(w if w.isascii() else w.translate(spelling))]).tobytes() for w in alone])
+        todo = others
     for i in range(0, len(todo), 4096):
         part = todo[i:i + 4096]
-        for piece, e in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False)):
-            young[piece] = value(e.ids)
-    return young
+        cache.put(part, [array("I", e.ids).tobytes() for e in t.encode_batch_fast(part, add_special_tokens=False)])
+    return cache.young
+
+
+def spelled(table: dict[str, bytes], pieces: list[str]) -> bytes:
+    """The ids of a text, joined from those of its pieces."""
+    if len(pieces) < 2:
+        return table[pieces[0]] if pieces else b""
+    return b"".join(itemgetter(*pieces)(table))
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -129,8 +205,8 @@ def _offsets(path: str) -> Callable[[str], tuple[list[int], list[int]]]:
 
 def count_texts(path: str, texts: list[str | None], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
     pieces = [cut(t) if t and len(t) <= chunk else [] for t in texts]
-    table = encoded(path, "count", pieces, len)
-    return [count_huge(_offsets(path), t, chunk, overlap) if t and len(t) > chunk else sum(map(table.__getitem__, p))
+    table = encoded(path, pieces)
+    return [count_huge(_offsets(path), t, chunk, overlap) if t and len(t) > chunk else len(spelled(table, p)) // 4
             for t, p in zip(texts, pieces)]
 
 
@@ -151,5 +227,5 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                                       names=["doc_id", "n_bytes", "n_tokens"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInArrow(count, f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
+    counted = rows.mapInArrow(frugal(count), f"doc_id {kind}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
