@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)        # odd, so that powers can be undone
+KEPT_POWERS = 1 << 19                                   # 4 MB each of four bases
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -27,14 +28,14 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)``, kept between calls."""
+    """``base ** 0 .. base ** (n - 1)``; up to KEPT_POWERS of them are kept between calls."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.full(size, base, dtype=np.uint64)
+        have = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         have[0] = 1
         have = np.cumprod(have, dtype=np.uint64)
-        _POWERS[base] = have
+        if len(have) <= KEPT_POWERS:
+            _POWERS[base] = have
     return have[:n]
 
 

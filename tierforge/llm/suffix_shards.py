@@ -7,7 +7,10 @@ else, in the same document or another; matches stay inside one document.
    anchor; neighbouring windows with one anchor form a region. Equal windows
    have equal anchors. Regions meet by their anchor: a lone anchor ends the
    search, equal regions (128-bit fingerprints of their bytes) are settled,
-   and only regions that share an anchor but differ go on, with their bytes.
+   and only regions that share an anchor but differ go on, with their bytes;
+   of these only such as share a side too. Equal windows have the same bytes
+   around the anchor, at least half of ``target - GRAM`` on one of its sides, so
+   128 bytes there must be equal.
 2. Regions are dealt to shards, all of one anchor to the same shard. A shard
    of at most SHARD_BYTES builds a suffix array by Larsson-Sadakane refinement
    (ranks of doubled length, unsorted groups only) and common prefixes by
@@ -34,11 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.llm import blobs
-from tierforge.llm.common import keyed, parts_for, ship
+from tierforge.llm.common import frugal, keyed, parts_for, ship
 from tierforge.llm.hashing import joined, mix, ranged, text_bytes
 from tierforge.llm.tokens import slices
 
-TARGET, GRAM = 400, 32
+TARGET, GRAM = 400, 128
 SLICE_BYTES = 1 << 20
 SHARD_BYTES = 2 << 20
 HOT_REGIONS = 2048
@@ -47,7 +50,7 @@ _PLACE_BITS = 22              # a slice, or a segment of a long row, is shorter
 SETTLED, UNKNOWN, KNOWN = 0, 1, 2       # regions: repeated; to be searched; to be searched in
 HOT = 4
 
-_REGION = ("<u8", "<u8", "<u8", "u1", "<u4", "<u4", "<u4", "<i8", "<i8")   # anchor, print (2), state, document, at, n | k1, k2
+_REGION = ("<u8", "<u8", "<u8", "<u8", "<u8", "u1", "<u4", "<u4", "<u4", "<i8", "<i8")  # anchor, sides, print (2), state, document, at, n | k1, k2
 _BYTES = ("<u8", "u1", "<u4", "<u4", "<u4", "<i8", "<i8", "u1")            # anchor, kind, document, at, n | k1, k2 | bytes
 _PRINT = ("<u8", "<u8", "u1", "<u4", "<u4", "<u4", "<i8", "<i8")           # print (2), kind, document, at, n | k1, k2
 _RUN = "k1 bigint, k2 bigint, at bigint, n bigint"
@@ -102,9 +105,27 @@ def _stretches(column: pa.Array, target: int) -> Iterator[tuple[np.ndarray, np.n
                 yield part, np.array([0, len(part)]), lo + r, a
 
 
+def gram_and_side(target: int) -> tuple[int, int]:
+    """Bytes of an anchor and of what must be equal beside it: powers of two, for windows of ``target`` bytes.
+
+    Small targets leave no room for a side (0): then every side counts as equal.
+    """
+    gram = GRAM
+    while gram > 16 and 3 * gram > target:
+        gram //= 2
+    side = 16
+    while 2 * side <= (target - gram + 1) // 2:
+        side *= 2
+    return gram, side if 2 * side <= target - gram + 1 else 0
+
+
 def _regions(data: np.ndarray, starts: np.ndarray, target: int) -> tuple[np.ndarray, ...]:
-    """``row, at, n, anchor, print, print`` of every region; ``at`` counts from the row's first byte."""
-    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 3
+    """``row, at, n, anchor, left, right, print, print`` of every region; ``at`` counts from the row's first byte.
+
+    ``left`` and ``right`` hash the ``side`` bytes before and behind the anchor,
+    0 if the row (or the segment of a long one) has not so many there.
+    """
+    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 5
     if len(data) < target:
         return none
     edge = np.zeros(len(data) + 1, dtype=np.int32)
@@ -114,9 +135,10 @@ def _regions(data: np.ndarray, starts: np.ndarray, target: int) -> tuple[np.ndar
     np.add.at(edge, starts[long], 1)
     np.add.at(edge, starts[long + 1] - target + 1, -1)
     windows = np.flatnonzero(np.cumsum(edge[:-1]))
-    gram = _grams(data, GRAM)
+    gram_bytes, side = gram_and_side(target)
+    gram = _grams(data, gram_bytes)
     low = np.uint64((1 << _PLACE_BITS) - 1)
-    least = _sliding_min((gram & ~low) | np.arange(len(gram), dtype=np.uint64), target - GRAM + 1)
+    least = _sliding_min((gram & ~low) | np.arange(len(gram), dtype=np.uint64), target - gram_bytes + 1)
     elected = (least[windows] & low).astype(np.int64)
     fresh = np.ones(len(windows), dtype=bool)
     fresh[1:] = (np.diff(windows) > 1) | (np.diff(elected) != 0)
@@ -129,7 +151,14 @@ def _regions(data: np.ndarray, starts: np.ndarray, target: int) -> tuple[np.ndar
     size = n.astype(np.uint64)
     one = mix(ranged(mix(short), lo, hi + target - 15, 0) + size)
     two = mix(ranged(mix(short ^ np.uint64(0x5851F42D4C957F2D)), lo, hi + target - 15, 1) ^ size)
-    return row, lo - starts[row], n, gram[elected[begin]], one, two
+    anchor = elected[begin]
+    left = right = np.ones(len(row), dtype=np.uint64)
+    if side:
+        beside = gram if side == gram_bytes else _grams(data, side)
+        before, behind = anchor - side, anchor + gram_bytes
+        left, right = (np.where(inside, beside[np.clip(at, 0, len(beside) - 1)] | np.uint64(1), np.uint64(0)) for at, inside in (
+            (before, before >= starts[row]), (behind, behind + side <= starts[row + 1])))
+    return row, lo - starts[row], n, gram[anchor], left, right, one, two
 
 
 def suffix_order(data: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,6 +266,19 @@ def _named(doc: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, list[np
     return local.astype("<u4"), [k[names] for k in keys]
 
 
+def _met(group: np.ndarray, side: np.ndarray, new: np.ndarray, settled: np.ndarray) -> np.ndarray:
+    """Different regions (``new``) that share group and side with another one, if one of them is not settled."""
+    out = np.zeros(len(group), dtype=bool)
+    which = np.flatnonzero(new & (side != 0))
+    if len(which):
+        which = which[np.lexsort((side[which], group[which]))]
+        begin = np.ones(len(which), dtype=bool)
+        begin[1:] = (group[which][1:] != group[which][:-1]) | (side[which][1:] != side[which][:-1])
+        cell = np.cumsum(begin) - 1
+        out[which] = (np.bincount(cell)[cell] > 1) & (np.bincount(cell, weights=~settled[which])[cell] > 0)
+    return out
+
+
 def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions: int) -> DataFrame:
     """``(k1, k2, at, n, kind, anchor)``: settled regions, and those whose bytes must be searched."""
     def elect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,13 +286,13 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
             keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2")]
             found = []
             for data, starts, row, offset in _stretches(batch.column("text"), target):
-                r, at, n, anchor, one, two = _regions(data, starts, target)
-                found.append((r + row, at + offset, n, anchor, one, two))
+                r, at, *hashes = _regions(data, starts, target)
+                found.append((r + row, at + offset, *hashes))
             if not found:
                 continue
-            doc, at, n, anchor, one, two = (np.concatenate(c) for c in zip(*found))
+            doc, at, n, anchor, left, right, one, two = (np.concatenate(c) for c in zip(*found))
             order = np.lexsort((two, one))
-            doc, at, n, anchor, one, two = (c[order] for c in (doc, at, n, anchor, one, two))
+            doc, at, n, anchor, left, right, one, two = (c[order] for c in (doc, at, n, anchor, left, right, one, two))
             again = np.zeros(len(doc), dtype=bool)
             again[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
             state = again.astype(np.uint8) * 2                  # 2: settled here, 1: stands for copies, 0: seen once
@@ -259,10 +301,10 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
             part[again] = (mix(doc[again].astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
             back = np.lexsort((at, doc))
             out = []
-            for p, (d, *share) in blobs.deal(part[back], [c[back] for c in (doc, anchor, one, two, state, at, n)]):
+            for p, (d, *share) in blobs.deal(part[back], [c[back] for c in (doc, anchor, left, right, one, two, state, at, n)]):
                 local, named = _named(d, keys)
-                a, f, g, s, begin, size = share
-                out.append((p, blobs.pack([a, f, g, s, local, begin.astype("<u4"), size.astype("<u4"), *named])))
+                *hashes, s, begin, size = share
+                out.append((p, blobs.pack([*hashes, s, local, begin.astype("<u4"), size.astype("<u4"), *named])))
             yield blobs.rows(out)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,10 +312,10 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
         for batch in batches:
             for b in batch.column("blob"):
                 c = blobs.unpack(b.as_py(), _REGION)
-                found.append((*c[:4], c[5], c[6], c[7][c[4]], c[8][c[4]]))
+                found.append((*c[:6], c[7], c[8], c[9][c[6]], c[10][c[6]]))
         if not found:
             return
-        anchor, one, two, state, at, n, k1, k2 = (np.concatenate(c) for c in zip(*found))
+        anchor, left, right, one, two, state, at, n, k1, k2 = (np.concatenate(c) for c in zip(*found))
         kind = np.full(len(anchor), 255, dtype=np.uint8)
         kind[state == 2] = SETTLED
         here = np.flatnonzero(state != 2)
@@ -288,8 +330,9 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
             copies = np.bincount(region, weights=1 + (state[here] == 1))
             settled = copies[region] > 1
             different = np.bincount(group[new_print])[group]
-            open_group = np.bincount(group, weights=~settled)[group] > 0
-            search = new_print & (different > 1) & open_group
+            search = np.zeros(len(here), dtype=bool)
+            for side in (left[here], right[here]):
+                search |= _met(group, side, new_print, settled)
             hot = HOT * (different > hot_regions).astype(np.uint8)
             result = np.where(settled, SETTLED, 255).astype(np.uint8)
             lone = search & ~settled
@@ -311,8 +354,8 @@ def _anchors(rows: DataFrame, target: int, parts: int, tasks: int, hot_regions:
                  pa.array(kinds[lo:lo + (1 << 16)].astype(np.int32)), pa.array(anchor[i].view(np.int64))],
                 names=["k1", "k2", "at", "n", "kind", "anchor"])
 
-    elected = rows.select("k1", "k2", "text").mapInArrow(elect, blobs.SCHEMA)
-    met = blobs.exchange(elected, tasks).mapInArrow(meet, _RUN + ", kind int, anchor bigint")
+    elected = rows.select("k1", "k2", "text").mapInArrow(frugal(elect), blobs.SCHEMA)
+    met = blobs.exchange(elected, tasks).mapInArrow(frugal(meet), _RUN + ", kind int, anchor bigint")
     return met.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n", "kind", "anchor")).alias("regions"))
 
 
@@ -425,9 +468,9 @@ def _search(rows: DataFrame, target: int, parts: int, tasks: int, shard_bytes: i
             yield pa.record_batch([pa.array(k1[i]), pa.array(k2[i]), pa.array(at[i]), pa.array(n[i])],
                                   names=["k1", "k2", "at", "n"])
 
-    sent = rows.mapInArrow(send, blobs.SCHEMA)
-    searched = blobs.exchange(sent, tasks).mapInArrow(shards, blobs.SCHEMA)
-    return blobs.exchange(searched, tasks).mapInArrow(merge, _RUN)
+    sent = rows.mapInArrow(frugal(send), blobs.SCHEMA)
+    searched = blobs.exchange(sent, tasks).mapInArrow(frugal(shards), blobs.SCHEMA)
+    return blobs.exchange(searched, tasks).mapInArrow(frugal(merge), _RUN)
 
 
 def _shard(bodies: list[np.ndarray], kind: np.ndarray, n: np.ndarray, target: int):
@@ -516,5 +559,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     return rows.join(found, ["k1", "k2"], "left").select("doc_id", "text", "runs").mapInArrow(
-        cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+        frugal(cut), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
              "spans array<struct<start:bigint,end:bigint>>")
