@@ -31,11 +31,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--key-method", choices=("ranged", "auto", "global"), default="ranged")
     ap.add_argument("--infer-schemas", action="store_true", help="infer feed schemas instead of declaring them")
     ap.add_argument("--run-id", default=None, help="name of the run; given again, only unfinished tasks are run")
+    ap.add_argument("--buckets", type=int, default=None, help="store sales and customers in so many buckets of the customer id")
     args = ap.parse_args(argv)
     spark = build_session(args.master, profile=args.profile)
     records = run_warehouse(spark, args.root, as_of=args.as_of, on_failure=args.on_failure,
                             key_method=args.key_method, fmt=args.fmt, explicit_schemas=not args.infer_schemas,
-                            run_id=args.run_id)
+                            run_id=args.run_id, buckets=args.buckets)
     for r in records:
         print(json.dumps({"task": r.task_name, "status": r.status, "rows": r.rows_processed,
                           "seconds": round(r.duration_seconds, 3), "error": r.error_message}))

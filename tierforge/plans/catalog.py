@@ -206,6 +206,14 @@ def resumed_run(spark, sf_dir):
     return read_table(spark, layout.audit(), "parquet").select("task_name", "layer", "status", "rows_processed")
 
 
+def fact_sales_bucketed(spark, sf_dir):
+    """The fact of a run whose sales and customers are stored in buckets of the customer id."""
+    layout = Layout(scratch_path(spark, "bucketed"))
+    write_feeds(X.feeds(spark, sf_dir), layout)
+    Workflow(warehouse_tasks(as_of=AS_OF, buckets=8), layout).run(spark)
+    return read_table(spark, layout.table("fact_sales"), "parquet")
+
+
 def audit_compacted(spark, sf_dir):
     """The audit log of two runs after its files were rewritten as one."""
     layout = Layout(scratch_path(spark, "compacted"))
@@ -464,6 +472,7 @@ def queries() -> dict[str, Query]:
         "pinned_run": pinned_run,
         "resumed_run": resumed_run,
         "audit_compacted": audit_compacted,
+        "fact_sales_bucketed": fact_sales_bucketed,
         "silver_sales_money": silver_sales_money,
         "dim_products_repeated": dim_products_repeated,
         "registered_keys": registered_keys,

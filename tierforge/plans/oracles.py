@@ -247,6 +247,7 @@ def oracles() -> dict[str, str]:
         ("J5", "select sls_cust_id as k from silver_sales", "select cst_id as k from silver_cust"))))
     q["pinned_run"] = _with(*CUST_CHAIN, body="select * from dim_cust")
     q["resumed_run"] = _with(*ALL_TABLES, body=RESUMED_ROWS)
+    q["fact_sales_bucketed"] = _with(*ALL_TABLES, body="select * from fact")
     q["audit_compacted"] = _with(*ALL_TABLES, body=f"select a.* from ({AUDIT_ROWS}) a, range(2) where layer = 'silver'")
     q["silver_sales_money"] = _with(RAW_SALES, RAW_MONEY, SILVER_SALES.replace("from raw_sales", "from raw_money"),
                                     body="select * from silver_sales")

@@ -29,7 +29,7 @@ import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +66,7 @@ class Task:
     output: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
+    bucket_by: tuple[str, int] | None = None      # layout of the output: (column, buckets)
 
     def upstream(self) -> list[str]:
         return [i for i in self.inputs if not i.startswith(FEED_PREFIX)]
@@ -108,9 +109,15 @@ class AuditRecord:
         return AuditRecord(**kept | {k: dt.datetime.fromisoformat(kept[k]) for k in ("start_time", "end_time")})
 
 
-def warehouse_tasks(as_of: str | None = None, key_method: str = "ranged") -> list[Task]:
-    """The nine table builds of the sales warehouse, with their dependencies."""
-    return [
+def warehouse_tasks(as_of: str | None = None, key_method: str = "ranged", buckets: int | None = None) -> list[Task]:
+    """The nine table builds of the sales warehouse, with their dependencies.
+
+    With ``buckets`` the sales and the customer dimension are stored in that many
+    buckets of the customer id, so that the fact's customer lookup (J5) joins
+    bucket by bucket, without an exchange.
+    """
+    by = {"silver_sales": "sls_cust_id", "dim_customers": "customer_id"} if buckets else {}
+    tasks = [
         Task("silver.crm_cust_info", "silver", "silver_customers", ("feed:customers",), T.silver_customers),
         Task("silver.crm_prd_info", "silver", "silver_product_versions", ("feed:products",),
              T.silver_product_versions),
@@ -128,6 +135,7 @@ def warehouse_tasks(as_of: str | None = None, key_method: str = "ranged") -> lis
         Task("gold.fact_sales", "gold", "fact_sales", ("silver_sales", "dim_products", "dim_customers"),
              T.fact_sales),
     ]
+    return [replace(t, bucket_by=(by[t.output], buckets)) if t.output in by else t for t in tasks]
 
 
 class Workflow:
@@ -194,7 +202,7 @@ class Workflow:
             if not isinstance(df, DataFrame):
                 raise TypeError(f"task {task.name} must build a DataFrame, got {type(df).__name__}")
             path = self.layout.table(task.output)
-            rows, made = write_version(df, path, fmt, label=run_id)
+            rows, made = write_version(df, path, fmt, label=run_id, bucket_by=task.bucket_by)
             for feed, found in checked.items():
                 if found.rows_rejected():
                     rejects.update({f"{feed}.{c}": n for c, n in found.counts().items()})
@@ -285,7 +293,8 @@ class Workflow:
 def run_warehouse(spark: SparkSession, root: str, storage_settings: dict[str, str] | None = None,
                   as_of: str | None = None, on_failure: str = "skip", key_method: str = "ranged",
                   fmt: str | None = None, explicit_schemas: bool = True,
-                  feed_paths: dict[str, str] | None = None, run_id: str | None = None) -> list[AuditRecord]:
+                  feed_paths: dict[str, str] | None = None, run_id: str | None = None,
+                  buckets: int | None = None) -> list[AuditRecord]:
     """The whole load in one call: storage settings, nine tasks, audit append.
 
     Feeds are read from ``<root>/bronze`` (or ``feed_paths``, see ``Layout``); tables go to ``<root>/silver`` and
@@ -294,7 +303,7 @@ def run_warehouse(spark: SparkSession, root: str, storage_settings: dict[str, st
     """
     if storage_settings:
         configure_storage(spark, storage_settings)
-    tasks = warehouse_tasks(as_of=as_of, key_method=key_method)
+    tasks = warehouse_tasks(as_of=as_of, key_method=key_method, buckets=buckets)
     return Workflow(tasks, Layout(root, feed_paths or {}), fmt=fmt, on_failure=on_failure,
                     explicit_schemas=explicit_schemas).run(spark, run_id)
 

@@ -132,8 +132,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, version:
     return spark.read.format(fmt or table_format(spark)).load(path)
 
 
-def write_version(df: DataFrame, path: str, fmt: str | None = None, mode: str = "overwrite",
-                  label: str = "") -> tuple[int, commits.Version | None]:
+def write_version(df: DataFrame, path: str, fmt: str | None = None, mode: str = "overwrite", label: str = "",
+                  bucket_by: tuple[str, int] | None = None) -> tuple[int, commits.Version | None]:
     """S4 + A1: write ``df``; its row count, and for parquet the version it became (see ``commits``).
 
     The count is an ``Observation`` on the write, so the lineage runs once
@@ -142,7 +142,8 @@ def write_version(df: DataFrame, path: str, fmt: str | None = None, mode: str =
     """
     fmt = fmt or table_format(df.sparkSession)
     if fmt == "parquet" and mode in ("overwrite", "append"):
-        made = commits.overwrite(df, path, label=label) if mode == "overwrite" else commits.append(df, path, label)
+        made = (commits.overwrite(df, path, label=label, bucket_by=bucket_by) if mode == "overwrite"
+                else commits.append(df, path, label))
         return made.added, made
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).save(path)
