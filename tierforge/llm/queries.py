@@ -1,4 +1,4 @@
-"""Registered queries: one per training-data operator, over its whole table."""
+"""Registered queries: one per training-data operator over its whole table, and operator 2 over pages as well."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierforge.llm import (
     decontaminate, exact_recipes, hard_negatives, language, mixing, packing, pii, prob_minhash, repair, secret_markov,
@@ -27,6 +28,15 @@ def op2_language(spark, sf_dir):
     return found.select("doc_id", "language", "posterior", "kept")
 
 
+def language_pages(spark, sf_dir):
+    """Operator 2 over raw pages: markup, address suffix and host as evidence, the model fitted on other rows (documents)."""
+    names, model = language.fit_characters(_table(spark, sf_dir, "documents"), "text", "lang")
+    pages = language.page_evidence(_table(spark, sf_dir, "pages"))
+    found = language.identify(pages, text="page_text", declared="declared", host="host", suffix=F.col("suffix"),
+                              key=("page_id", "page_text"), names=names, model=model)
+    return found.select("page_id", "language", "posterior", "kept")
+
+
 def op3_suffix_shards(spark, sf_dir):
     return suffix_shards.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -74,4 +84,4 @@ def op13_hard_negatives(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_pii, op2_language, op3_suffix_shards, op4_packing, op5_decontaminate, op6_exact_recipes, op7_token_counts, op8_secret_markov,
-        op9_substring_levels, op10_prob_minhash, op11_mixing, op12_repair, op13_hard_negatives)}
+        op9_substring_levels, op10_prob_minhash, op11_mixing, op12_repair, op13_hard_negatives, language_pages)}
