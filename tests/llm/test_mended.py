@@ -24,7 +24,6 @@ HARD = ["", " ", "<|endoftext|> x", "a<|startoftext|>", "don't 'stop' it's 'S 'x
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
 @pytest.mark.parametrize("limit", [200, 1 << 20])
 def test_pieces_give_the_tokens_of_the_text(path, limit, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_BYTES", limit)
     monkeypatch.setattr(tokens, "_CACHES", {})
     rng = random.Random(1)
     alphabet = "ab1'._,-éÉß \t'’½²_xİ́"
@@ -34,7 +33,7 @@ def test_pieces_give_the_tokens_of_the_text(path, limit, monkeypatch):
     whole = tokens.tokenizer(path).encode_batch(texts, add_special_tokens=False)
     for i in range(0, len(texts), 100):
         pieces = [tokens.words(path, t) if apart else tokens.cut(t) for t in texts[i:i + 100]]
-        table = tokens.encoded(path, pieces)
+        table = tokens.encoded(path, pieces, limit)
         for p, e in zip(pieces, whole[i:i + 100]):
             assert np.frombuffer(tokens.spelled(table, p), "<u4").tolist() == e.ids
     # two generations at most, the young one not far over its bound

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import keyed, let, sampled, ship, spread_join, written
+from tierforge.llm.common import frugal, keyed, let, sampled, ship, spread_join, written
 from tierforge.llm.tokens import slices
 
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 4000      # documents of each label, characters of each
@@ -82,7 +82,7 @@ def fit_characters(docs: DataFrame, text: str, label: str, sample_docs: int = SA
                 yield pa.record_batch([pa.array([name] * len(buckets), pa.string()), pa.array(buckets, pa.int32()),
                                        pa.array(n, pa.int64())], names=["label", "bucket", "n"])
 
-    counts = (sample.select("label", "text").mapInArrow(count, "label string, bucket int, n bigint")
+    counts = (sample.select("label", "text").mapInArrow(frugal(count), "label string, bucket int, n bigint")
                     .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
     found = counts.toArrow()              # bounded by the sample: at most labels x BUCKETS rows
     label_of = found.column("label").combine_chunks().dictionary_encode()
@@ -119,7 +119,7 @@ def score_texts(rows: DataFrame, model: np.ndarray) -> DataFrame:
                      pa.ListArray.from_arrays(offsets, pa.array(mean.ravel(), pa.float64()))],
                     names=[*[f.name for f in keep], "n", "mean"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frugal(run), schema)
 
 
 def _softmax(logs: Column) -> Column:

@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.llm.common import frugal, ship
-from tierforge.llm.tokens import cut, encoded, letters, slices, spelled, words
+from tierforge.llm.tokens import cut, encoded, forget, letters, slices, spelled, words
 
 MAX_LENGTH = 2048
 TIERS = (2048, 1024, 512, 256)
 END = 1                          # the id that ends a document
 STEP_TOKENS = 16 * MAX_LENGTH    # tokens of a step group
 GROUP_TOKENS = 1 << 20           # tokens that are packed together
+CACHE_BYTES = 32 << 20           # of one generation of encoded pieces, forgotten when a task ends
 
 Piece = tuple[int, int, int]     # document (index in the group), start, length
 FIELDS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")
@@ -181,11 +182,12 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
                 names = ids.slice(lo, hi - lo).to_pylist()
                 texts = column.slice(lo, hi - lo).to_pylist()
                 pieces = [(words(path, t) if apart else cut(t)) if t else [] for t in texts]
-                known = encoded(path, pieces)
+                known = encoded(path, pieces, CACHE_BYTES)
                 for name, p in zip(names, pieces):
                     packer.add(name, spelled(known, p) + end)
                 if packer.tokens >= GROUP_TOKENS:
                     yield table(packer.emit(last=False))
+        forget()
         if id_type is not None:
             yield table(packer.emit(last=True))
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.llm import blobs
-from tierforge.llm.common import fingerprint, parts_for, ship, spread_join, written
+from tierforge.llm.common import fingerprint, frugal, parts_for, ship, spread_join, written
 from tierforge.llm.hashing import FOLDED, joined, mix, ranged, text_bytes, window_hashes, word_bounds
 from tierforge.llm.tokens import slices
 
@@ -286,8 +286,8 @@ def candidate_pairs(rows: DataFrame, parts: int, tasks: int) -> DataFrame:
             yield pa.record_batch([pa.array(both[0][a]), pa.array(both[1][a]), pa.array(both[0][b]), pa.array(both[1][b]),
                                    pa.array(c)], names=["a1", "a2", "b1", "b2", "loose"])
 
-    sketched = rows.select(*KEY, "text").mapInArrow(sketch, blobs.SCHEMA)
-    pairs = blobs.exchange(sketched, tasks).mapInArrow(meet, "a1 bigint, a2 bigint, b1 bigint, b2 bigint, loose boolean")
+    sketched = rows.select(*KEY, "text").mapInArrow(frugal(sketch), blobs.SCHEMA)
+    pairs = blobs.exchange(sketched, tasks).mapInArrow(frugal(meet), "a1 bigint, a2 bigint, b1 bigint, b2 bigint, loose boolean")
     return pairs.groupBy("a1", "a2", "b1", "b2").agg(F.max("loose").alias("loose"))
 
 
@@ -374,8 +374,8 @@ def fine_pairs(texts: DataFrame, parts: int, tasks: int, similarity: float) -> D
         for lo in range(0, len(pairs), 1 << 16):
             yield pa.record_batch([pa.array(c) for c in pairs[lo:lo + (1 << 16)].T.copy()], names=["a1", "a2", "b1", "b2"])
 
-    sketched = texts.select(*KEY, "component", "text").mapInArrow(sketch, blobs.SCHEMA)
-    return blobs.exchange(sketched, tasks).mapInArrow(compare, "a1 bigint, a2 bigint, b1 bigint, b2 bigint").distinct()
+    sketched = texts.select(*KEY, "component", "text").mapInArrow(frugal(sketch), blobs.SCHEMA)
+    return blobs.exchange(sketched, tasks).mapInArrow(frugal(compare), "a1 bigint, a2 bigint, b1 bigint, b2 bigint").distinct()
 
 
 def named_texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -408,7 +408,7 @@ def verified_links(texts: DataFrame, pairs: DataFrame, similarity: float = SIMIL
                 yield pa.record_batch([*kept.columns, pa.array(found[keep])], names=["a1", "a2", "b1", "b2", "similarity"])
 
     return full.select("a1", "a2", "b1", "b2", "a", "b").mapInArrow(
-        verify, "a1 bigint, a2 bigint, b1 bigint, b2 bigint, similarity double")
+        frugal(verify), "a1 bigint, a2 bigint, b1 bigint, b2 bigint, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:

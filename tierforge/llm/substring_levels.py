@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.llm import blobs
-from tierforge.llm.common import keyed, parts_for, ship
+from tierforge.llm.common import frugal, keyed, parts_for, ship
 from tierforge.llm.hashing import joined, mix, ranged, text_bytes, window_hashes, word_bounds
 from tierforge.llm.tokens import slices
 
@@ -181,8 +181,8 @@ def _level(rows: DataFrame, lengths: list[int], target: int, parts: int, tasks:
             yield pa.record_batch([pa.array(k1[i]), pa.array(k2[i]), pa.array(place[i].astype(np.int32))],
                                   names=["k1", "k2", "place"])
 
-    elected = rows.mapInArrow(elect, blobs.SCHEMA)
-    survivors = blobs.exchange(elected, tasks).mapInArrow(survive, "k1 bigint, k2 bigint, place int")
+    elected = rows.mapInArrow(frugal(elect), blobs.SCHEMA)
+    survivors = blobs.exchange(elected, tasks).mapInArrow(frugal(survive), "k1 bigint, k2 bigint, place int")
     return survivors.groupBy("k1", "k2").agg(F.collect_list("place").alias("alive"))    # places of one document
 
 
@@ -240,8 +240,8 @@ def later_windows(rows: DataFrame, lengths: list[int], target: int, parts: int,
             yield pa.record_batch([pa.array(k1[b]), pa.array(k2[b]), pa.array(place[b].astype(np.int32)),
                                    pa.array(n[i].astype(np.int32))], names=["k1", "k2", "at", "n"])
 
-    opened = rows.mapInArrow(open_windows, blobs.SCHEMA)
-    return blobs.exchange(opened, tasks).mapInArrow(settle, _RUN)
+    opened = rows.mapInArrow(frugal(open_windows), blobs.SCHEMA)
+    return blobs.exchange(opened, tasks).mapInArrow(frugal(settle), _RUN)
 
 
 def _not_first(one: np.ndarray, two: np.ndarray, ids: np.ndarray, k1: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -309,5 +309,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                       names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
     out = rows.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(
-        cut, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+        frugal(cut), f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
     return out if texts else out.drop("kept")

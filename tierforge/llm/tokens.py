@@ -43,7 +43,7 @@ from tierforge.llm.common import frugal, ship
 
 CHUNK, OVERLAP = 32_768, 512      # characters
 LIMIT = 1024                      # tokens; more are over the limit
-CACHE_BYTES = 64 << 20            # of one generation of encoded pieces; a worker remembers two
+CACHE_BYTES = 128 << 20           # of one generation of encoded pieces; a worker remembers two
 ENTRY_BYTES = 230                 # of a cache entry besides its characters and ids
 SLICE_BYTES = 2 << 20             # text that is worked on at once
 
@@ -67,15 +67,15 @@ _PLAIN = re.compile("[\\t-\\r -~\xa1-\xac\xae-įı-ɏ‐-‧€]*")
 class _Cache:
     """Ids of pieces (four bytes each) in two generations; a full one becomes the old one, pieces still in use move on from it."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int) -> None:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.bytes = 0
+        self.bytes, self.limit = 0, limit
 
     def missing(self, wanted: set[str]) -> list[str]:
         """Pieces to be encoded, after those known were made young."""
         fresh = wanted.difference(self.young)
-        if self.bytes > CACHE_BYTES:
+        if self.bytes > self.limit:
             self.young, self.old, self.bytes, fresh = {}, self.young, 0, wanted
         known = list(fresh.intersection(self.old))
         self.put(known, list(map(self.old.__getitem__, known)))
@@ -133,9 +133,14 @@ def words(path: str, text: str) -> list[str]:
     return _FINE.findall(text.lower())
 
 
-def encoded(path: str, texts: Iterable[list[str]]) -> dict[str, bytes]:
+def forget() -> None:
+    """Drop the encoded pieces that this worker remembers."""
+    _CACHES.clear()
+
+
+def encoded(path: str, texts: Iterable[list[str]], cache_bytes: int = CACHE_BYTES) -> dict[str, bytes]:
     """A table with the ids (little-endian, four bytes each) of every piece in ``texts`` (lists of pieces)."""
-    cache, t = _CACHES.setdefault(path, _Cache()), tokenizer(path)
+    cache, t = _CACHES.setdefault(path, _Cache(cache_bytes)), tokenizer(path)
     todo, spelling = cache.missing(set().union(*texts)), letters(path)
     if spelling is not None:
         # words of small letters only, all below U+0250
