@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tierforge.functions import clean as C
-from tierforge.operators.lookup_audit import audited_lookup, repeated_keys
+from tierforge.operators.lookup_audit import audited_lookup, matches, repeated_keys, unfolded
 from tierforge.operators.registry import register, registered_key
 from tierforge.operators.star import lookup
 from tierforge.plans import tables as T
@@ -132,6 +132,41 @@ def test_audit_counts_and_the_joined_rows(spark):
     assert audit.counts() == {"left_rows": 8, "matched": 5, "missed": 3, "null_keys": 1, "fan_out": 6}
 
 
+def test_folded_lookups_count_the_same_and_unfold(spark):
+    left = spark.createDataFrame([(i, k) for i, k in enumerate([" a", "a ", "b", "c", None, "zz", "", "c"])], "i int, k string")
+    right = spark.createDataFrame([("a", 1), ("a ", 2), ("b", 3), (None, 4), (None, 5), ("c", 6), ("c", 7), ("c", 8), ("q", 9)], "r string, v int")
+    args = ("k", "r"), {"v": "v"}
+    folded, audit = audited_lookup(left, right, *args, "test", C.trim_spaces, multiply=False)
+    path = scratch_path(spark, "folded") + "/t"
+    write_table(folded, path)
+    rows = read_table(spark, path)
+    assert {(r.i, r.n_matches) for r in rows.collect()} == {(0, 2), (1, 2), (2, 1), (3, 3), (4, None), (5, None), (6, None), (7, 3)}
+    assert audit.counts() == {"left_rows": 8, "matched": 5, "missed": 3, "null_keys": 1, "fan_out": 6}
+    whole = unfolded(rows, matches(right, *args, C.trim_spaces), *args, C.trim_spaces)
+    assert _multiset(whole) == _multiset(lookup(left, right, *args, normalize=C.trim_spaces))
+    nothing, empty = audited_lookup(left.limit(0), right, *args, multiply=False)
+    nothing.collect()
+    assert set(empty.counts().values()) == {0}
+
+
+def test_the_audited_lookups_write_no_multiplied_rows(spark, sf_dir, monkeypatch):
+    from tierforge.plans import catalog
+
+    written = {}
+
+    def counted(df, path, *args):
+        n = write_table(df, path, *args)
+        written[path.rpartition("/")[2].rpartition("-")[0]] = n
+        return n
+
+    monkeypatch.setattr(catalog, "write_table", counted)
+    audits = {r.lookup: r for r in catalog.lookup_audit(spark, sf_dir).collect()}
+    assert audits["J4"].fan_out > 0
+    for name in ("J1", "J2", "J3", "J4", "J5"):
+        assert written[f"audited-{name}"] == audits[name].left_rows
+    assert written["matches-J4"] == written["audited-products"]
+
+
 def test_audit_reads_the_left_side_once(spark):
     path = scratch_path(spark, "audit-left") + "/t"
     write_table(spark.range(50).select(F.col("id").alias("k")), path)

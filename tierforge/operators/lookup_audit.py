@@ -10,6 +10,11 @@ From the marks follow the left rows again:
 Rows of one key on the right are found in two steps. A mergeable sketch counts
 the keys' hashes in a fixed number of cells, which can't miss a repeated key;
 only the rows of cells that were met twice are grouped by the key itself.
+
+Where both sides repeat their keys, the joined rows grow with the product of
+the repeats. Such a lookup can be kept folded (``multiply=False``): every left
+row once, with the number of its matches, and beside them the right rows by
+key (``matches``). ``unfolded`` multiplies them. The counts are the same.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from tierforge.operators.star import KeyPairs, lookup
 
 CELLS = 1 << 20            # of the sketch: at most so many rows of 16 bytes
 _FIRST = "__first"
+N_MATCHES = "n_matches"    # of a folded lookup: right rows of the left row's key, null if there are none
 
 
 @dataclass
@@ -58,10 +64,61 @@ def repeated_keys(df: DataFrame, columns: list[str], normalize: Callable[[Column
     return suspects.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def _pairs(on: KeyPairs) -> list[tuple[str, str]]:
+    return [on] if isinstance(on, tuple) and isinstance(on[0], str) else list(on)
+
+
+def _empty_key(pairs: list[tuple[str, str]]) -> Column:
+    out = F.lit(False)
+    for lk, _ in pairs:
+        out = out | F.col(lk).isNull()
+    return out
+
+
+def matches(right: DataFrame, on: KeyPairs, take: Mapping[str, str],
+            normalize: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``__q0, __q1, ...`` (keys after ``normalize``) and the taken columns of the right rows that can match."""
+    keyed, names = _keyed(right, [r for _, r in _pairs(on)], normalize)
+    return keyed.select(*names, *[F.col(c).alias(out) for c, out in take.items()]).dropna(subset=names)
+
+
+def _folded(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], normalize: Callable[[Column], Column] | None) -> DataFrame:
+    """``left``, every row once, and ``N_MATCHES``."""
+    keyed, names = _keyed(right, [r for _, r in pairs], normalize)
+    n_rows = keyed.select(*names).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    norm = normalize or (lambda c: c)
+    mine = [f"__l{i}" for i in range(len(pairs))]
+    rows = left.select("*", *[norm(F.col(lk)).alias(n) for (lk, _), n in zip(pairs, mine)])
+    # a derived key beside them asks for an exchange after the grouping, so that hot left keys can be split
+    rows, n_rows = rows.withColumn("__lj", F.xxhash64(*mine)), n_rows.withColumn("__qj", F.xxhash64(*names))
+    return lookup(rows, n_rows, [*zip(mine, names), ("__lj", "__qj")], {"__n": N_MATCHES}).drop(*mine, "__lj")
+
+
+def unfolded(folded: DataFrame, found: DataFrame, on: KeyPairs, take: Mapping[str, str],
+             normalize: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The rows of ``lookup(left, right, on, take, normalize=...)`` from a folded lookup and its ``matches``."""
+    pairs, norm = _pairs(on), normalize or (lambda c: c)
+    mine = [f"__l{i}" for i in range(len(pairs))]
+    rows = folded.drop(N_MATCHES).select("*", *[norm(F.col(lk)).alias(n) for (lk, _), n in zip(pairs, mine)])
+    keys = [(n, f"__q{i}") for i, n in enumerate(mine)]
+    return lookup(rows, found, keys, {out: out for out in take.values()}).drop(*mine)
+
+
 def audited_lookup(left: DataFrame, right: DataFrame, on: KeyPairs, take: Mapping[str, str], name: str = "lookup",
-                   normalize: Callable[[Column], Column] | None = None) -> tuple[DataFrame, LookupAudit]:
-    """``lookup(left, right, on, take, normalize=...)`` and its audit."""
-    pairs = [on] if isinstance(on, tuple) and isinstance(on[0], str) else list(on)
+                   normalize: Callable[[Column], Column] | None = None, multiply: bool = True) -> tuple[DataFrame, LookupAudit]:
+    """``lookup(left, right, on, take, normalize=...)`` and its audit.
+
+    Without ``multiply`` the lookup stays folded: every left row once and ``N_MATCHES``, not the taken columns.
+    """
+    pairs = _pairs(on)
+    seen = Observation(f"lookup_{uuid.uuid4().hex[:8]}")
+    n_null = F.count_if(_empty_key(pairs)).alias("null_keys")
+    if not multiply:
+        n = F.col(N_MATCHES)
+        counted = _folded(left, right, pairs, normalize).observe(
+            seen, F.sum(F.coalesce(n, F.lit(1))).alias("joined"), F.count_if(n.isNull()).alias("missed"),
+            F.count_if(n.isNotNull()).alias("matched"), n_null)
+        return counted, LookupAudit(name, seen)
     keys = [r for _, r in pairs]
     keyed, names = _keyed(right, keys, normalize)
     twice = repeated_keys(right, keys, normalize)
@@ -71,10 +128,6 @@ def audited_lookup(left: DataFrame, right: DataFrame, on: KeyPairs, take: Mappin
     place = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
     marked = once.unionByName(more.withColumn(_FIRST, place == 1)).drop(*names)
     joined = lookup(left, marked, on, {**take, _FIRST: _FIRST}, normalize=normalize)
-    seen = Observation(f"lookup_{uuid.uuid4().hex[:8]}")
-    empty_key = F.lit(False)
-    for lk, _ in pairs:
-        empty_key = empty_key | F.col(lk).isNull()
     counted = joined.observe(seen, F.count(F.lit(1)).alias("joined"), F.count_if(F.col(_FIRST).isNull()).alias("missed"),
-                             F.count_if(F.col(_FIRST)).alias("matched"), F.count_if(empty_key).alias("null_keys"))
+                             F.count_if(F.col(_FIRST)).alias("matched"), n_null)
     return counted.drop(_FIRST), LookupAudit(name, seen)
