@@ -1,5 +1,7 @@
 """Task runner: success path, failure handling, audit trail, reruns, schemas."""
 
+import datetime as dt
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +194,22 @@ def test_runner_error_still_writes_finished_audit_rows(spark, feeds_layout):
     written = {r.task_name: r.status for r in _audit(spark, layout).collect()}
     assert len(written) == 8 and "gold.fact_sales" not in written
     assert set(written.values()) == {SUCCESS}
+
+
+def test_the_sales_feed_joins_its_orders_by_shuffle_without_sorting_the_lines(spark, sf_dir):
+    raw = X.feeds(spark, sf_dir)["sales"]
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [l_orderkey" in plan and "SortMergeJoin" not in plan
+    part = spark.createDataFrame([(1, "a b c"), (2, None)], "p_partkey bigint, p_name string")
+    lines = spark.createDataFrame([(7, 1, 1, 3.0, dt.datetime(2020, 5, 6)), (7, 2, 2, 4.0, None), (9, 1, 1, 1.0, None)],
+                                  "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_shipdate timestamp")
+    rows = X.raw_sales(lines, part, spark.createDataFrame([(7, 10)], "o_orderkey bigint, o_custkey bigint")).collect()
+    assert {(r.sls_ord_num, r.sls_line, r.sls_prd_key, r.sls_cust_id) for r in rows} == {("SO7", 1, " a-b-c ", 7), ("SO7", 2, None, 7)}
+
+
+def test_write_feeds_fails_with_the_feed_that_fails(spark):
+    layout = Layout(scratch_path(spark, "feeds-fail"))
+    good = spark.range(3)
+    with pytest.raises(Exception, match="divide"):
+        write_feeds({"customers": good.select((F.lit(1) / (F.col("id") * 0)).alias("x"), F.raise_error(F.lit("divide")).alias("y")),
+                     "sales": good}, layout)
