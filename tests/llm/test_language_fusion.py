@@ -4,6 +4,7 @@ import math
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,34 @@ def test_pages_with_markup_address_and_host(spark, sf_dir):
     assert len({r[3] for r in rows}) > 1 and any(r[4] for r in rows)
     found = {r.page_id: (r.language, r.posterior, r.kept) for r in queries.language_pages(spark, sf_dir).collect()}
     _same(found, fused(rows, names, model))
+
+
+def test_trigrams_are_held_for_a_slice_of_the_texts_only(spark, tmp_path):
+    """Of many texts a worker turns SLICE_BYTES at a time into trigrams, when it fits and when it scores; the model is the same."""
+    rows = spark.createDataFrame([(i, f"{'word' * 150} {i} {'other' * 100}", "ab"[i % 2]) for i in range(1500)], "doc_id int, text string, lang string").coalesce(1)
+    seen = str(tmp_path)
+    real = language._trigrams
+
+    def noted(texts):
+        import os
+        import uuid
+        with open(os.path.join(seen, uuid.uuid4().hex), "w") as f:
+            f.write(str(sum(map(len, texts))))
+        return real(texts)
+
+    names, model = language.fit_characters(rows, "text", "lang")
+    buckets, n = np.unique(real([r.text for r in rows.where("lang = 'a'").collect()])[0], return_counts=True)
+    table = np.full(language.BUCKETS, 0.05)
+    table[buckets] += n
+    assert names == ["a", "b"] and np.allclose(model[:, 0], np.log(table / table.sum()))
+    language._trigrams = noted
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(language)
+        language.fit_characters(rows, "text", "lang")
+        language.score_texts(rows.select("doc_id", "text"), model).collect()
+        cloudpickle.unregister_pickle_by_value(language)
+    finally:
+        language._trigrams = real
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sum(sizes) > 3 * language.SLICE_BYTES and max(sizes) <= language.SLICE_BYTES

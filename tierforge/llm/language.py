@@ -43,6 +43,7 @@ TEMPER = 60               # a text counts as at most so many independent trigram
 SMOOTHING = 20.0          # weight of the level above, in documents
 DECLARED_SMOOTHING = 5.0
 MIN_POSTERIOR = 0.5
+SLICE_BYTES = 1 << 18     # text whose trigrams a worker holds at once, some 60 bytes a character
 LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"      # the middle of a trigram that counts
 
 
@@ -74,13 +75,17 @@ def fit_characters(docs: DataFrame, text: str, label: str, sample_docs: int = SA
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = np.array(batch.column("label").to_pylist(), dtype=object)
-            texts = batch.column("text").to_pylist()
-            for name in sorted(set(labels)):
-                own = [t for t, x in zip(texts, labels) if x == name]
-                buckets, n = np.unique(_trigrams(own)[0], return_counts=True)
+            sums: dict[str, np.ndarray] = {}
+            for lo, hi in slices(batch.column("text"), SLICE_BYTES):
+                labels = batch.column("label").slice(lo, hi - lo).to_pylist()
+                texts = batch.column("text").slice(lo, hi - lo).to_pylist()
+                for name in sorted(set(labels)):
+                    own = [t for t, x in zip(texts, labels) if x == name]
+                    sums[name] = sums.get(name, 0) + np.bincount(_trigrams(own)[0], minlength=BUCKETS)
+            for name, table in sums.items():
+                buckets = np.flatnonzero(table)
                 yield pa.record_batch([pa.array([name] * len(buckets), pa.string()), pa.array(buckets, pa.int32()),
-                                       pa.array(n, pa.int64())], names=["label", "bucket", "n"])
+                                       pa.array(table[buckets], pa.int64())], names=["label", "bucket", "n"])
 
     counts = (sample.select("label", "text").mapInArrow(frugal(count), "label string, bucket int, n bigint")
                     .groupBy("label", "bucket").agg(F.sum("n").alias("n")))
@@ -106,7 +111,7 @@ def score_texts(rows: DataFrame, model: np.ndarray) -> DataFrame:
         logs = table.value
         for batch in batches:
             column = batch.column("text")
-            for lo, hi in slices(column, 1 << 20):
+            for lo, hi in slices(column, SLICE_BYTES):
                 part = batch.slice(lo, hi - lo)
                 texts = [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
                 buckets, owner, n = _trigrams(texts)
