@@ -36,7 +36,8 @@ TIERS = (2048, 1024, 512, 256)
 END = 1                          # the id that ends a document
 STEP_TOKENS = 16 * MAX_LENGTH    # tokens of a step group
 GROUP_TOKENS = 1 << 20           # tokens that are packed together
-CACHE_BYTES = 32 << 20           # of one generation of encoded pieces, forgotten when a task ends
+CACHE_BYTES = 24 << 20           # of one generation of encoded pieces, forgotten when a task ends
+SLICE_BYTES = 1 << 18            # text whose words a worker holds at once, some 15 bytes a byte
 
 Piece = tuple[int, int, int]     # document (index in the group), start, length
 FIELDS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group")
@@ -178,7 +179,7 @@ def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text")
         for batch in batches:
             ids, column = batch.column("doc_id"), batch.column("text")
             id_type = ids.type
-            for lo, hi in slices(column):
+            for lo, hi in slices(column, SLICE_BYTES):
                 names = ids.slice(lo, hi - lo).to_pylist()
                 texts = column.slice(lo, hi - lo).to_pylist()
                 pieces = [(words(path, t) if apart else cut(t)) if t else [] for t in texts]

@@ -51,8 +51,8 @@ FINE_BANDS, FINE_ROWS = 48, 8
 SKETCH = 1024             # registers of a sketch; the first ones make the fine bands
 SLACK = 3.5
 PART_TEXTS = 4096         # open texts for which one part is dealt in the second round
-COMPARED_BYTES = 32 << 20
-SLICE_BYTES = 1 << 20
+COMPARED_BYTES = 4 << 20  # of sketches that are compared at once, four times as much at the peak
+SLICE_BYTES = 1 << 18     # text whose shingles a worker holds at once, some 100 bytes a byte
 
 # band key, longer key, text, thinned bucket | k1, k2 | pairs of texts from thinned buckets
 _ENTRY = ("<u8", "<u8", "<u4", "u1", "<i8", "<i8", "<u4", "<u4")
